@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import exact_dedup, simhash
-from broadsheet.llm.common import table
+from broadsheet.llm import (
+    embedding_dedup,
+    exact_dedup,
+    langid,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    toxicity,
+    warc,
+)
+from broadsheet.llm.common import in_fold, table
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,9 +44,66 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+#: Target shares of tokens by domain, the classes of the labels table.
+MIX_WEIGHTS = {"clean": 0.94, "noisy": 0.04, "toxic": 0.02}
+
+
+def domain_of_labels():
+    toxic, quality = F.col("toxic").cast("int"), F.col("quality").cast("int")
+    return F.when(toxic == 1, "toxic").when(quality == 0, "noisy").when(quality == 1, "clean")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = mixing.fit_domains(docs, table(spark, sf_dir, "labels"), domain_of_labels())
+    rows, _ = mixing.mix(docs, model, MIX_WEIGHTS)
+    return rows.select("doc_id", "tokens", "posteriors", "domain", "rate", "copies")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    read = warc.read_back(warc.archive(pages), payloads=False)
+    number = lambda c: F.nullif(F.col(c), F.lit("")).cast(kind).alias(c)
+    return read.select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op5_simhash_near_dedup)}
+def _folds(folds: int, held_out: int):
+    return (lambda c: ~in_fold(c, folds, held_out)), in_fold(F.col("doc_id"), folds, held_out).alias("held_out")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn, held_out = _folds(5, 0)
+    found = langid.identify(docs, langid.train(docs, learn(docs["doc_id"])))
+    return found.select("doc_id", held_out, "lang_pred", "score", "margin", "accepted")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn, held_out = _folds(5, 0)
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), learn))
+    return found.select("doc_id", held_out, "score", "predicted")
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn, held_out = _folds(4, 2)
+    found = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"), learn))
+    return found.select("doc_id", held_out, "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality)}
 ORACLES = {"op2_exact_dedup": OP2_SQL}
