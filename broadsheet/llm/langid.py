@@ -19,7 +19,7 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE, DICTIONARY_BYTES, MAX_LANGUAGES = 200, 48 << 10, 500
 #: Characters that are compressed as one frame, so that the dictionary counts along the whole text.
 FRAME_CHARS = 1024
-LEVEL = 6
+LEVEL = 12
 #: A text is rejected if the best language saves less than this share of the second's size.
 MARGIN = 0.002
 #: Weight of a byte of difference in the score.
@@ -39,6 +39,7 @@ class LanguageModel:
     """One raw-content dictionary a language."""
 
     dictionaries: dict[str, bytes]
+    prior: dict[str, int] | None = None
     level: int = LEVEL
     frame_chars: int = FRAME_CHARS
     margin: float = MARGIN
@@ -65,15 +66,15 @@ class LanguageModel:
         return out
 
     def predict(self, text: str | None) -> tuple[str, float, float, bool]:
-        """(language, score, margin, accepted); ties go to the language that sorts first."""
+        """(language, score, margin, accepted); ties go to the language with most training rows, then to the first by name."""
         plain = letters(text)
         if not plain or not self.dictionaries:
             return UNKNOWN, 0.0, 0.0, False
-        names = sorted(self.dictionaries)
+        names, seen = sorted(self.dictionaries), self.prior or {}
         if len(names) == 1:
             return names[0], 1.0, 1.0, True
         s = self.sizes(plain)
-        best, second = np.argsort(s, kind="stable")[:2]
+        best, second = np.lexsort((np.arange(len(s)), [-seen.get(n, 0) for n in names], s))[:2]
         margin = float(s[second] - s[best]) / float(s[second])
         score = float(1.0 / np.exp(-BYTE_WEIGHT * np.minimum(s - s[best], 1000)).sum())
         return names[best], score, margin, margin >= self.margin
@@ -87,6 +88,7 @@ def train(docs: DataFrame, rows: Column, id_col: str = "doc_id", text_col: str =
     """
     labelled = docs.filter(rows & docs[lang_col].isNotNull() & docs[text_col].isNotNull())
     keys = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
+    prior = {r.lang: r["count"] for r in keys.groupBy("lang").count().collect()}
     order = Window.partitionBy("lang").orderBy("h", "id")
     picked = keys.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= docs_per_language).select("lang", "id").distinct().collect()
     names = {r.lang for r in picked}
@@ -107,7 +109,7 @@ def train(docs: DataFrame, rows: Column, id_col: str = "doc_id", text_col: str =
         if data:
             out[lang] = data[-dictionary_bytes:]
     size = min(map(len, out.values()), default=0)  # equal sizes, so that no language gains by a longer dictionary
-    return LanguageModel({k: v[-max(size, dictionary_bytes // 4) :] for k, v in out.items()})
+    return LanguageModel({k: v[-max(size, dictionary_bytes // 4) :] for k, v in out.items()}, prior)
 
 
 OUT = "lang_pred string, score double, margin double, accepted boolean"
