@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +19,18 @@ PASSAGE_CHARS = 512
 HIDDEN, ATTENTION, EPOCHS, RATE, DECAY = 24, 12, 400, 0.01, 1e-4
 
 
-def _inputs(counts: np.ndarray) -> np.ndarray:
-    """Square roots of the shares of class pairs, and the passage's fill."""
+def encode(batch: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a row for each passage, passages of each text): square roots of the shares of class pairs, the passage's fill, and
+    what it repeats of itself, as the share that compression leaves."""
+    counts, count = passages(batch, chars)
     n = counts.sum(axis=1, keepdims=True)
-    return np.concatenate([np.sqrt(counts / np.maximum(n, 1)), np.log1p(n) / 7], axis=1)
+    pack = zstandard.ZstdCompressor(level=1).compress
+    left = []
+    for t in batch:
+        for at in range(0, max(1, len(t)), chars):
+            raw = t[at : at + chars].encode("utf-8", "surrogatepass")
+            left.append(len(pack(raw)) / (len(raw) + 16))
+    return np.concatenate([np.sqrt(counts / np.maximum(n, 1)), np.log1p(n) / 7, np.array(left)[:, None]], axis=1), count
 
 
 @dataclass
@@ -48,8 +57,8 @@ class AttentionModel:
         return h, t, g, a, d, doc, first, 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def inputs(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        counts, n = passages(batch, self.chars)
-        return ((_inputs(counts) - self.mean) / self.scale).astype(np.float32), n
+        x, n = encode(batch, self.chars)
+        return ((x - self.mean) / self.scale).astype(np.float32), n
 
     def scores(self, batch: list[str]) -> np.ndarray:
         if not batch or not self.params:
@@ -67,8 +76,7 @@ def fit(texts: list[str], y: np.ndarray, chars: int = PASSAGE_CHARS, epochs: int
     """Adam over mini-batches of documents, each class weighing its share in the sample; with one label only, its share."""
     if not len(y) or y.min() == y.max():
         return AttentionModel(np.array([y.mean() if len(y) else 0.0]), np.ones(1), {}, chars)
-    counts, n = passages(texts, chars)
-    x = _inputs(counts)
+    x, n = encode(texts, chars)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 0.02
     x = ((x - mean) / scale).astype(np.float32)
     r = np.random.default_rng(seed)

@@ -15,7 +15,7 @@ from broadsheet.llm.features import HashedTerms, labelled_sample, select_terms
 #: Bounds of the labelled sample that the model is fitted on, for each label.
 TOXIC_ROWS, OTHER_ROWS = 3000, 6000
 #: Terms of the machine, and the least G that a term's presence must reach.
-TERMS, LEAST_G = 2048, 30.0
+TERMS, LEAST_G = 2048, 24.0
 FACTORS, EPOCHS, RATE, DECAY = 8, 300, 0.05, 1e-3
 
 
