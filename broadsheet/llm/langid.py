@@ -19,7 +19,8 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE, DICTIONARY_BYTES, MAX_LANGUAGES = 200, 48 << 10, 500
 #: Characters that are compressed as one frame, so that the dictionary counts along the whole text.
 FRAME_CHARS = 1024
-LEVEL = 12
+#: Short texts are searched harder: of pieces of 20 characters level 12 tells 0.93 rightly and level 6 0.36; of 80, both 0.997.
+LEVEL, SHORT_LEVEL, SHORT_CHARS = 6, 12, 96
 #: A text is rejected if the best language saves less than this share of the second's size.
 MARGIN = 0.002
 #: Weight of a byte of difference in the score.
@@ -47,21 +48,23 @@ class LanguageModel:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_coders"}
 
-    def coders(self):
+    def coders(self, level: int):
         if not hasattr(self, "_coders"):
-            self._coders = []
+            self._coders = {}
+        if level not in self._coders:
+            self._coders[level] = []
             for _, data in sorted(self.dictionaries.items()):
                 d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(level=self.level)
-                self._coders.append(zstandard.ZstdCompressor(dict_data=d, level=self.level, write_content_size=False, write_dict_id=False))
-        return self._coders
+                d.precompute_compress(level=level)
+                self._coders[level].append(zstandard.ZstdCompressor(dict_data=d, level=level, write_content_size=False, write_dict_id=False))
+        return self._coders[level]
 
     def sizes(self, text: str) -> np.ndarray:
         """Compressed bytes of the whole text under each language, frame by frame."""
         out = np.zeros(len(self.dictionaries), np.int64)
         # The end of a frame meets the dictionary like its start: a leading space marks a word's begin.
         parts = [f" {text[i : i + self.frame_chars]} ".encode("utf-8", "replace") for i in range(0, len(text), self.frame_chars)]
-        for k, coder in enumerate(self.coders()):
+        for k, coder in enumerate(self.coders(self.level if len(text) > SHORT_CHARS else SHORT_LEVEL)):
             out[k] = sum(len(coder.compress(p)) for p in parts)
         return out
 
