@@ -53,42 +53,50 @@ def chunks(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return words, coded.indices.to_numpy(), edge
 
 
-def terms_of(word: str) -> list[str]:
-    """A word, and its beginnings of four to six letters, which inflected and compound words share."""
-    return [word, *(f"{n}:{word[:n]}" for n in (4, 5, 6) if len(word) >= n)]
+#: Lengths of the beginnings that count as terms beside whole words.
+BEGINNINGS = (4, 5, 6)
+
+
+def _slot(term: str) -> int:
+    return xxhash.xxh32_intdigest(term.encode("utf-8", "replace")) >> (32 - HASH_BITS)
 
 
 class HashedTerms:
-    """Which of the selected hashed terms each text of a column holds; `selected` are slots of 2^HASH_BITS."""
+    """Which hashed terms each text of a column holds: words, and their beginnings of four to six letters, which inflected
+    and compound words share. Terms are slots of 2^HASH_BITS, or places among `selected` ones."""
 
     def __init__(self, selected: np.ndarray | None):
-        self.selected = selected
         self.place = None if selected is None else {int(s): i for i, s in enumerate(selected)}
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def _slots(self, chunk: str) -> tuple[int, ...]:
-        got = self.cache.get(chunk)
-        if got is None:
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            slots = {xxhash.xxh32_intdigest(t.encode("utf-8", "replace")) >> (32 - HASH_BITS) for w in _WORD.findall(chunk) for t in terms_of(w)}
-            if self.place is not None:
-                slots = {self.place[s] for s in slots if s in self.place}
-            got = self.cache[chunk] = tuple(slots)
-        return got
+        self.beginnings: dict[str, tuple[int, ...]] = {}
+
+    def _of(self, slots) -> tuple[int, ...]:
+        return tuple(slots) if self.place is None else tuple(self.place[s] for s in slots if s in self.place)
+
+    def _terms(self, chunk: str) -> tuple[int, ...]:
+        """Terms of a chunk. Beginnings repeat over many words, so they are remembered; there are few of them."""
+        out: tuple[int, ...] = ()
+        for w in (chunk,) if chunk.isalpha() else _WORD.findall(chunk):
+            head = w[: BEGINNINGS[-1]]
+            got = self.beginnings.get(head)
+            if got is None:
+                if len(self.beginnings) > 200_000:
+                    self.beginnings.clear()
+                got = self.beginnings[head] = self._of({_slot(f"{n}:{head[:n]}") for n in BEGINNINGS if len(head) >= n})
+            slot = xxhash.xxh32_intdigest(w.encode("utf-8", "replace")) >> (32 - HASH_BITS)
+            if self.place is None:
+                out += (slot, *got)
+            elif got or slot in self.place:
+                out += (*got, self.place[slot]) if slot in self.place else got
+        return out
 
     def sets(self, column: pa.Array) -> list[np.ndarray]:
         words, index, edge = chunks(column)
-        slots = [self._slots(w) for w in words]
+        terms = [self._terms(w) for w in words]
         if self.place is None:
-            return [np.unique(np.array([s for i in np.unique(index[a:b]) for s in slots[i]], np.int64)) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        some = np.array([bool(s) for s in slots], bool)
-        out = []
-        hits = np.flatnonzero(some[index]) if len(index) else np.empty(0, np.int64)
+            return [np.unique(np.array([t for i in np.unique(index[a:b]) for t in terms[i]], np.int64)) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        hits = np.flatnonzero(np.array([bool(t) for t in terms], bool)[index]) if len(index) else np.empty(0, np.int64)
         cuts = np.searchsorted(hits, edge)
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            out.append(np.array(sorted({s for i in set(index[hits[a:b]].tolist()) for s in slots[i]}), np.int64))
-        return out
+        return [np.array(sorted({t for i in set(index[hits[a:b]].tolist()) for t in terms[i]}), np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def select_terms(sets: list[np.ndarray], y: np.ndarray, most: int, least: float) -> np.ndarray:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import over_text, slices, stage, texts
+from broadsheet.llm.common import ids_unique, keep_rows, over_text, slices, stage, texts
 from broadsheet.llm.features import HashedTerms, labelled_sample, passages, select_terms
 
 #: Bounds of the classifier: labelled rows for each domain, terms, and the least G of a term.
@@ -34,7 +34,7 @@ class DomainModel:
 
     def inputs(self, batch: list[str]) -> np.ndarray:
         sets = self.bags.sets(pa.array(batch, pa.string()))
-        shares, _ = passages(batch, _WIDE)
+        shares = np.concatenate([passages(batch[i : i + 128], _WIDE)[0] for i in range(0, max(1, len(batch)), 128)])
         shares = np.sqrt(shares / np.maximum(shares.sum(axis=1, keepdims=True), 1))
         out = np.zeros((len(batch), len(self.slots) + shares.shape[1] + 1), np.float32)
         for i, s in enumerate(sets):
@@ -115,7 +115,7 @@ def memberships(docs: DataFrame, model: DomainModel, id_col: str = "doc_id", tex
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
         return {"tokens": pa.array([len(t.split()) for t in batch], pa.int64()), "posteriors": lists}
 
-    return over_text(docs, [id_col], text_col, "tokens bigint, posteriors array<double>", rows_of, rows=256)
+    return over_text(docs, [id_col], text_col, "tokens bigint, posteriors array<double>", rows_of, rows=2000)
 
 
 def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float], budget: float | None = None, thin: bool = True) -> Mixture:
@@ -204,9 +204,14 @@ def mix(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col:
 
 
 def mixed_rows(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that the mixture's rates keep, each at most once, with all their columns."""
-    members = stage(memberships(docs, model, id_col, text_col), "memberships")
-    mixture = fit_rates(members, model, weights)
+    """The rows of docs that the mixture's rates keep, each at most once, with all their columns.
+
+    Texts are classified once and the decisions joined by id; where ids repeat, the rate is found again for each row.
+    """
+    rows, mixture = mix(docs, model, weights, id_col, text_col)
+    rows = stage(rows.select(id_col, "copies"), "mixture")
+    if ids_unique(rows, id_col):
+        return keep_rows(docs, rows.filter("copies > 0"), id_col, True)
     spare = "_rate"
     while spare in docs.columns:
         spare += "_"

@@ -15,7 +15,7 @@ from broadsheet.llm.features import HashedTerms, labelled_sample, select_terms
 #: Bounds of the labelled sample that the model is fitted on, for each label.
 TOXIC_ROWS, OTHER_ROWS = 3000, 6000
 #: Terms of the machine, and the least G that a term's presence must reach.
-TERMS, LEAST_G = 2048, 24.0
+TERMS, LEAST_G = 2048, 30.0
 FACTORS, EPOCHS, RATE, DECAY = 8, 300, 0.05, 1e-3
 
 
@@ -94,4 +94,4 @@ def score(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id",
         s = model.scores(bags.sets(pa.array(batch, pa.string())))
         return {"score": pa.array(s, pa.float64()), "predicted": pa.array((s >= threshold).astype(np.int32), pa.int32())}
 
-    return over_text(docs, [id_col], text_col, "score double, predicted int", rows_of)
+    return over_text(docs, [id_col], text_col, "score double, predicted int", rows_of, rows=2000)
