@@ -88,22 +88,22 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str
 
 @dataclass
 class Mixture:
-    """Rates of documents: from 1, each step takes the posteriors' product with a scaled gradient away, not below zero."""
+    """Rates of documents: from 1, each step takes the posteriors' product with a scaled gradient away, within 0 and `most`."""
 
     model: DomainModel
     steps: list[np.ndarray]
-    scale: float
+    most: float
     totals: dict[str, float]
     targets: dict[str, float]
 
     def rates(self, posteriors: np.ndarray) -> np.ndarray:
-        return fold_steps(posteriors, self.steps) * self.scale
+        return fold_steps(posteriors, self.steps, self.most)
 
 
-def fold_steps(posteriors: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
+def fold_steps(posteriors: np.ndarray, steps: list[np.ndarray], most: float) -> np.ndarray:
     r = np.ones(len(posteriors))
     for g in steps:
-        r = np.maximum(0.0, r - posteriors @ g)
+        r = np.clip(r - posteriors @ g, 0.0, most)
     return r
 
 
@@ -124,56 +124,51 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
     A step is a sum over all documents: each task folds the steps so far over its rows and sends on the totals, and the
     product sums of posteriors over the rows whose rate is not zero, a matrix of domains by domains. The gradient is scaled
     by that matrix's inverse, so that rare domains converge as fast as common ones; a step that raises the weighed miss is
-    halved. The budget is what the scarcest domain allows without repeats unless given. With thin, rates are scaled so
-    that the largest is 1. Domains without a weight have weight 0.
+    made smaller, and then scaled by the domains' supply alone, which always lowers it. With thin, rates are at most 1, so nothing repeats. The budget is, unless given, what the scarcest domain allows
+    without repeats, less a twentieth, for documents of mixed membership that go. Domains without a weight have weight 0.
     """
     names, d = model.domains, len(model.domains)
     want = np.array([weights.get(n, 0.0) for n in names])
     want = want / want.sum() if want.sum() > 0 else np.full(d, 1.0 / d)
+    most = 1.0 if thin else np.inf
 
     def sums(steps):
         def run(batches):
-            total, gram, top = np.zeros(d), np.zeros((d, d)), 0.0
+            total, gram = np.zeros(d), np.zeros((d, d))
             for b in slices(batches, 1 << 15):
                 p = np.asarray(b.column(1).flatten()).reshape(-1, d)
-                r, t = fold_steps(p, steps), np.asarray(b.column(0), dtype=float)
+                r, t = fold_steps(p, steps, most), np.asarray(b.column(0), dtype=float)
                 total += (t * r) @ p
                 gram += (p * (t * (r > 0))[:, None]).T @ p
-                top = max(top, float(r.max(initial=0.0)))
-            out = np.concatenate([total, gram.ravel(), [top]])
+            out = np.concatenate([total, gram.ravel()])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(out)], names=["k", "s"])
 
-        rows = members.select("tokens", "posteriors").mapInArrow(run, "k bigint, s double").groupBy("k").agg(F.sum("s").alias("s"), F.max("s").alias("m")).collect()
-        out, top = np.zeros(d + d * d), 0.0
+        rows = members.select("tokens", "posteriors").mapInArrow(run, "k bigint, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
+        out = np.zeros(d + d * d)
         for r in rows:
-            if r.k < len(out):
-                out[r.k] = r.s
-            else:
-                top = r.m
-        return out[:d], out[d:].reshape(d, d), top
+            out[r.k] = r.s
+        return out[:d], out[d:].reshape(d, d)
 
     steps: list[np.ndarray] = []
-    now, gram, top = sums(steps)
+    now, gram = sums(steps)
     safe = np.maximum(now, 1e-9)
     if budget is None:
-        budget = float(min((s / w for s, w in zip(now, want, strict=True) if w > 0), default=0.0))
+        budget = 0.95 * float(min((s / w for s, w in zip(now, want, strict=True) if w > 0), default=0.0))
     goal = budget * want
     best, tries = ((now - goal) ** 2 / safe).sum(), 0
     while budget > 0 and tries < STEPS and np.abs(now - goal).max() > TOLERANCE * budget:
-        step = np.linalg.solve(gram + (1e-9 * np.trace(gram) + 1e-9) * np.eye(d), now - goal)
-        for _ in range(8):
+        scaled = np.linalg.solve(gram + (1e-9 * np.trace(gram) + 1e-9) * np.eye(d), now - goal)
+        for step in (scaled, scaled / 4, (now - goal) / safe):
             tries += 1
             after = sums([*steps, step])
             miss = ((after[0] - goal) ** 2 / safe).sum()
             if miss < best:
                 break
-            step = step / 2
         else:
             break
         steps.append(step)
-        (now, gram, top), best = after, miss
-    scale = 1.0 / top if thin and top > 0 else 1.0
-    return Mixture(model, steps, scale, dict(zip(names, (now * scale).tolist(), strict=True)), dict(zip(names, (goal * scale).tolist(), strict=True)))
+        (now, gram), best = after, miss
+    return Mixture(model, steps, most, dict(zip(names, now.tolist(), strict=True)), dict(zip(names, goal.tolist(), strict=True)))
 
 
 def _draw(id_col: Column) -> Column:

@@ -277,17 +277,17 @@ def test_mixing_meets_targets(spark):
     got = rows.collect()
     assert len(got) == 1000 and all(0 <= r.rate <= 1 + 1e-9 and r.copies in (0, 1) for r in got)
     p, t = np.array([r.posteriors for r in got]), np.array([float(r.tokens) for r in got])
-    supply, scale = t @ p, mixture.scale
-    goal = np.array(list(mixture.targets.values())) / scale
+    supply = t @ p
+    goal = np.array(list(mixture.targets.values()))
     assert np.allclose(goal / goal.sum(), list(queries.MIX_WEIGHTS.values()))
     best = np.ones(len(got))
     for _ in range(5000):
-        best = np.maximum(0, best - p @ (((t * best) @ p - goal) / supply))
+        best = np.clip(best - p @ (((t * best) @ p - goal) / supply), 0, 1)
 
     def miss(rates):
         return ((((t * rates) @ p - goal) ** 2) / supply).sum() / goal.sum()
 
-    assert miss(np.array([r.rate for r in got]) / scale) <= miss(best) + 1e-4
+    assert miss(np.array([r.rate for r in got])) <= miss(best) + 3e-4
     assert miss(best) < 0.1 * miss(np.ones(len(got)))
 
 
@@ -349,7 +349,7 @@ def test_pipeline_stages(spark):
         path = queries_stage(out)
         docs = path
         sizes.append(docs.count())
-    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.5 * sizes[0] and sizes[1] >= 0.97 * sizes[0]
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.6 * sizes[0] and sizes[1] >= 0.97 * sizes[0]
     ids = {r.doc_id for r in docs.collect()}
     assert {r.doc_id for r in pipeline.STAGES[-1][1](spark, docs, SF).collect()} == ids
 
