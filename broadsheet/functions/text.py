@@ -102,3 +102,12 @@ def snippet(text: Column, focus: Column, chars: int = SNIPPET_CHARS) -> Column:
     window = F.when(begin > 0, F.concat(F.lit("…"), F.when(F.instr(window, " ") > 0, F.regexp_replace(window, "^[^ ]* ", "")).otherwise(window))).otherwise(window)
     window = F.when(end < F.length(text), F.concat(cut_tail(window), F.lit("…"))).otherwise(window)
     return F.when(F.length(text) <= chars, text).when(at < 1, head).otherwise(F.trim(window))
+
+
+def has_cue(text: Column, cues: list[str]) -> Column:
+    """Whether a text holds a cue at the start of a word, with any ending; a cue with = in front must be a whole word."""
+    word = r"[\p{L}\p{N}_]"
+    whole = [re.escape(c[1:]) for c in cues if c.startswith("=")]
+    stems = [re.escape(c) for c in cues if not c.startswith("=")]
+    parts = [*([f"(?:{'|'.join(stems)})"] if stems else []), *([f"(?:{'|'.join(whole)})(?!{word})"] if whole else [])]
+    return text.rlike(f"(?<!{word})(?:{'|'.join(parts)})") if parts else F.lit(False)

@@ -117,3 +117,30 @@ def best_candidate(candidates: DataFrame, threshold: float) -> DataFrame:
     w = Window.partitionBy("key").orderBy(F.col("score").desc(), "ordinal")
     best = candidates.withColumn("score", score).withColumn("rank", F.row_number().over(w)).filter(f"rank = 1 and score >= {threshold}")
     return best.select("key", F.coalesce("label_raw", "text").alias("canonical"), F.col("qid").alias("wikidata_qid"), F.round("score", 4).alias("confidence"), F.lit("wikidata").alias("resolver_method"))
+
+
+def ref_filter(ref: str) -> Column:
+    """Q and digits is an id, all else a name."""
+    return F.col("wikidata_qid") == ref if ref[:1] == "Q" and ref[1:].isdigit() else filled_name() == ref
+
+
+def gated(mentions: DataFrame, label: str, name: str, score: str, labels: tuple[str, ...] = ("PER", "ORG", "LOC"), least: float = 0.5, letters: int = 3) -> DataFrame:
+    """Mentions of the labels (a tag before a dash is cut), without word pieces, long enough, and sure enough or unscored."""
+    kind = F.upper(F.regexp_replace(F.col(label), "^[^-]*-", ""))
+    return mentions.filter(kind.isin(*labels) & ~F.col(name).rlike("(^|\\s)##") & (F.length(name) >= letters) & (F.col(score).isNull() | (F.col(score) >= least)))
+
+
+def default_mentions(articles: DataFrame, rule: str = r"^\p{Lu}\p{Ll}{3,}$") -> DataFrame:
+    """Default tagger: capitalized words; (id, entity_text, position), positions in characters. Built-in functions."""
+    from broadsheet.functions.text import pieces
+
+    rows = articles.select("id", pieces(F.col("text")).alias("p"))
+    starts = F.aggregate("p", F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + F.length(x))))
+    short = rows.filter(F.size("p") <= 2000).select("id", F.explode(F.arrays_zip("p", starts.alias("at"))).alias("z")).select("id", F.col("z.p").alias("entity_text"), F.col("z.at").alias("position"))
+    # long texts: the sum runs over rows, because growing an array is quadratic in its length
+    from pyspark.sql import Window
+
+    exploded = rows.filter(F.size("p") > 2000).select("id", F.posexplode("p").alias("i", "entity_text"))
+    w = Window.partitionBy("id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    long = exploded.select("id", "entity_text", F.coalesce(F.sum(F.length("entity_text")).over(w), F.lit(0)).cast("int").alias("position"))
+    return short.unionByName(long).filter(F.col("entity_text").rlike(rule))

@@ -76,3 +76,9 @@ def balanced(rows: DataFrame, label: str, order: str) -> DataFrame:
     ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy(label).orderBy(order)))
     out = ranked.join(F.broadcast(counts), label).crossJoin(F.broadcast(top))
     return out.select(*rows.columns, (F.floor((F.col("_top") - F.col("_k")) / F.col("_n")) + 1).cast("int").alias("copies"))
+
+
+def recall(pairs: DataFrame, by: str) -> DataFrame:
+    """Expected names and those found, either inside the other whatever the case. pairs: expected, found."""
+    e, f = F.lower("expected"), F.lower("found")
+    return pairs.groupBy(by).agg(F.count(F.lit(1)).alias("expected"), F.count_if(f.contains(e) | e.contains(f)).alias("hits"))

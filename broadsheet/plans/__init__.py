@@ -1,4 +1,4 @@
 """The library's queries over the driver's tables."""
 
-from broadsheet.plans import more_queries, news_queries, text_queries  # noqa: F401
+from broadsheet.plans import inventory_queries, more_queries, news_queries, text_queries  # noqa: F401
 from broadsheet.plans.registry import ORACLES, QUERIES  # noqa: F401
