@@ -30,7 +30,7 @@ def encode(batch: list[str], chars: int) -> tuple[np.ndarray, np.ndarray]:
         for at in range(0, max(1, len(t)), chars):
             raw = t[at : at + chars].encode("utf-8", "surrogatepass")
             left.append(len(pack(raw)) / (len(raw) + 16))
-    return np.concatenate([np.sqrt(counts / np.maximum(n, 1)), np.log1p(n) / 7, np.array(left)[:, None]], axis=1), count
+    return np.concatenate([np.sqrt(counts / np.maximum(n, 1)), np.log1p(n) / 7, np.array(left, np.float32)[:, None]], axis=1), count
 
 
 @dataclass
@@ -76,7 +76,8 @@ def fit(texts: list[str], y: np.ndarray, chars: int = PASSAGE_CHARS, epochs: int
     """Adam over mini-batches of documents, each class weighing its share in the sample; with one label only, its share."""
     if not len(y) or y.min() == y.max():
         return AttentionModel(np.array([y.mean() if len(y) else 0.0]), np.ones(1), {}, chars)
-    x, n = encode(texts, chars)
+    parts = [encode(texts[i : i + 64], chars) for i in range(0, len(texts), 64)]  # few at once: characters are wide here
+    x, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 0.02
     x = ((x - mean) / scale).astype(np.float32)
     r = np.random.default_rng(seed)
