@@ -69,7 +69,7 @@ def agreement(pairs: DataFrame) -> DataFrame:
 def balanced(rows: DataFrame, label: str, order: str) -> DataFrame:
     """Rows with how often each is to be repeated, in turns, so that every label has as many rows as the largest.
 
-    Ranks come from counts by label and bucket of the order column, not from one sorted task a label.
+    For sets of reviewed rows: one task sorts the ids and labels of a label.
     """
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.agg(F.max("_n").alias("_top"))
