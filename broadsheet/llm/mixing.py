@@ -16,8 +16,9 @@ from broadsheet.llm.features import HashedTerms, labelled_sample, passages, sele
 #: Bounds of the classifier: labelled rows for each domain, terms, and the least G of a term.
 ROWS_PER_DOMAIN, TERMS, LEAST_G = 2500, 1024, 30.0
 EPOCHS, RATE, DECAY = 250, 0.05, 1e-4
-#: Passes of projected gradient at most, and the largest share of the total by which a domain may miss its target.
-STEPS, TOLERANCE = 40, 2e-4
+#: Passes of projected gradient at most, the largest share of the total by which a domain may miss its target, and the
+#: share of the miss that a step must take away for another to follow.
+STEPS, TOLERANCE, GAIN = 40, 2e-4, 0.05
 _WIDE = 1 << 40
 
 
@@ -167,7 +168,9 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
         else:
             break
         steps.append(step)
-        (now, gram), best = after, miss
+        (now, gram), gained, best = after, best - miss, miss
+        if gained < GAIN * (gained + best):
+            break
     return Mixture(model, steps, most, dict(zip(names, now.tolist(), strict=True)), dict(zip(names, goal.tolist(), strict=True)))
 
 
