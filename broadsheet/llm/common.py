@@ -14,7 +14,8 @@ SALTS = 1024
 #: Rows of text that are handed to Python code at once; bounds the memory of a worker.
 ROWS_AT_ONCE = 512
 
-TRAIN_FOLDS = 5
+#: Tells rows of one id apart; no table has a column of this name.
+ROW_KEY = "__broadsheet_row_key"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -100,7 +101,7 @@ def unfold(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, unique: bool, key_of=None) -> DataFrame:
     """The rows of docs that `kept` names, each once; their columns stay as they are.
 
-    kept: id_col, and a column _key that `key_of(docs)` gives where ids repeat. Where ids are unique the id alone decides.
+    kept: id_col, and a column ROW_KEY that `key_of(docs)` gives where ids repeat. Where ids are unique the id alone decides.
     The decisions are the hashed side, so the wide rows are dealt once and never sorted.
     """
     names = docs.columns
@@ -108,10 +109,10 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, unique: bool, key_o
         on = docs[id_col].eqNullSafe(F.col("k._id"))
         return docs.join(kept.select(F.col(id_col).alias("_id")).hint("shuffle_hash").alias("k"), on, "left_semi")
     keyed = key_of(docs)
-    on = keyed[id_col].eqNullSafe(F.col("k._id")) & keyed["_key"].eqNullSafe(F.col("k._k"))
-    right = kept.select(F.col(id_col).alias("_id"), F.col("_key").alias("_k")).alias("k")
+    on = keyed[id_col].eqNullSafe(F.col("k._id")) & keyed[ROW_KEY].eqNullSafe(F.col("k._k"))
+    right = kept.select(F.col(id_col).alias("_id"), F.col(ROW_KEY).alias("_k")).alias("k")
     found = keyed.join(right, on, "left_semi")
-    return found.dropDuplicates([id_col, "_key"]).select(*names)
+    return found.dropDuplicates([id_col, ROW_KEY]).select(*names)
 
 
 def ids_unique(df: DataFrame, id_col: str) -> bool:

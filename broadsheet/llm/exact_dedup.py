@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import (
+    ROW_KEY,
     fold,
     fresh_path,
     ids_unique,
@@ -104,9 +105,9 @@ def drop_copies(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     spark = docs.sparkSession
     index = index or DigestIndex(spark, id_type=docs.schema[id_col].dataType.simpleString())
     found = stage(index.deduplicate(docs, id_col, text_col), "dedup")
-    kept = found.filter("kept").select(id_col, F.col("digest").alias("_key"))
+    kept = found.filter("kept").select(id_col, F.col("digest").alias(ROW_KEY))
 
     def key_of(df):
-        return df.withColumn("_key", F.unhex(F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").cast("binary"), 256)))
+        return df.withColumn(ROW_KEY, F.unhex(F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").cast("binary"), 256)))
 
     return keep_rows(docs, kept, id_col, ids_unique(found, id_col), key_of)

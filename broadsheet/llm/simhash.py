@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import fold, ids_unique, keep_rows, over_text, salted, stage, unfold
+from broadsheet.llm.common import ROW_KEY, fold, ids_unique, keep_rows, over_text, salted, stage, unfold
 from broadsheet.llm.graph import components, forest, in_buckets
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -137,10 +137,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
     if ids_unique(found, id_col):
         return keep_rows(docs, kept.select(id_col), id_col, True)
-    kept = kept.groupBy(id_col, "component_id").agg(F.min("fp").alias("_key")).select(id_col, "_key")
+    kept = kept.groupBy(id_col, "component_id").agg(F.min("fp").alias(ROW_KEY)).select(id_col, ROW_KEY)
 
     def key_of(df):
         fp = F.udf(lambda t: _signed(fingerprint(t or "")), "bigint")
-        return df.withColumn("_key", fp(text_col))
+        return df.withColumn(ROW_KEY, fp(text_col))
 
     return keep_rows(docs, kept, id_col, False, key_of)

@@ -367,3 +367,4 @@ def test_pipeline_on_odd_rows(spark):
     for _, step in pipeline.STAGES[:-1]:
         docs = queries_stage(step(spark, docs, SF))
         assert docs.columns == ["doc_id", "text", "lang", "score", "_key", "fp"]
+        assert all((r["_key"], r.fp) == (1, "x") for r in docs.collect())
