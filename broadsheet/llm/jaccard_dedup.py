@@ -1,0 +1,183 @@
+"""Near dedup by similarity: MinHash bands find candidates, exact Jaccard of five-word shingles decides."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from broadsheet.llm.common import ROW_KEY, fold, ids_unique, keep_rows, over_text, salted, slices, stage, unfold
+from broadsheet.llm.graph import components, in_buckets
+from broadsheet.llm.simhash import grouped, shingle_hashes
+
+SHINGLE, SIMILARITY = 5, 0.8
+#: 24 bands of 5 MinHashes: a pair of similarity 0.8 meets in none with a chance of 7e-5.
+BANDS, BAND = 24, 5
+_HASHES = 128
+#: One bit of each MinHash: pairs of similarity 0.8 differ in 12.8 of 128 on average, and in over FAR with a chance of 1e-4.
+FAR, NEAR = 26, 13
+#: Longer runs are first linked along a chain; only pairs that it leaves apart are then compared.
+SHORT = 24
+_R = np.random.default_rng(42)
+_MUL = _R.integers(0, 1 << 63, _HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _R.integers(0, 1 << 63, _HASHES, np.uint64)
+_MIX = _R.integers(0, 1 << 63, (BANDS, BAND), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of the five-word shingles; a shorter text is one shingle, one without words none."""
+    return np.unique(shingle_hashes(text or "", SHINGLE))
+
+
+def set_key(hashes: np.ndarray) -> int:
+    """One signed 64-bit integer a set: equal sets are one node."""
+    h = hashes ^ (hashes >> np.uint64(29))
+    h = h * np.uint64(0xBF58476D1CE4E5B9)
+    h = h ^ (h >> np.uint64(32))
+    return int((h * np.uint64(0x94D049BB133111EB)).sum(dtype=np.uint64).view(np.int64))
+
+
+def minhashes(hashes: np.ndarray) -> np.ndarray:
+    out = np.full(_HASHES, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        np.minimum(out, ((hashes[at : at + 2048, None] ^ _XOR) * _MUL).min(axis=0), out=out)
+    return out
+
+
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp, n, s0, s1, bands, hashes): the set's key and size, one bit of each MinHash, band keys, and the set itself."""
+
+    def rows_of(batch):
+        sets = [shingle_set(t) for t in batch]
+        low = np.array([minhashes(s) for s in sets], np.uint64).reshape(len(sets), _HASHES)
+        bits = np.packbits(((low >> np.uint64(31)) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little").view("<i8")
+        bands = (low[:, : BANDS * BAND].reshape(-1, BANDS, BAND) * _MIX).sum(axis=2, dtype=np.uint64).view(np.int64)
+        return {
+            "fp": pa.array([set_key(s) for s in sets], pa.int64()),
+            "n": pa.array([len(s) for s in sets], pa.int64()),
+            "s0": pa.array(bits[:, 0]),
+            "s1": pa.array(bits[:, 1]),
+            "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), pa.array(bands.ravel())),
+            "hashes": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+        }
+
+    return over_text(docs, [id_col], text_col, "fp bigint, n bigint, s0 bigint, s1 bigint, bands array<bigint>, hashes binary", rows_of)
+
+
+def _columns(t: pa.Table):
+    """node, size, two words of bits and component of the rows, behind the keys t and k."""
+    return [t.column(i).to_numpy() for i in range(2, 7)]
+
+
+def _apart(x, y) -> np.ndarray:
+    """Bits that differ between rows x and y, or more than all where the sizes rule the similarity out."""
+    far = np.bitwise_count((x[2] ^ y[2]).view(np.uint64)).astype(np.int16) + np.bitwise_count((x[3] ^ y[3]).view(np.uint64))
+    return np.where(np.minimum(x[1], y[1]) >= SIMILARITY * np.maximum(x[1], y[1]), far, _HASHES + 1)
+
+
+def _across(left, right, same: bool, all_pairs: bool):
+    """Candidate pairs (a, b) between two blocks: all of unlike components, or for each right row the nearest left row before it."""
+    far = _apart([c[:, None] for c in left], [c[None, :] for c in right])
+    near = far <= (FAR if all_pairs else NEAR)
+    if same:
+        near &= np.tri(len(left[0]), k=-1, dtype=bool).T
+    if all_pairs:
+        i, j = np.nonzero(near & (left[4][:, None] != right[4][None, :]))
+    else:
+        j = np.flatnonzero(near.any(axis=0))
+        i = len(near) - 1 - near[::-1, j].argmax(axis=0)
+    return left[0][i], right[0][j]
+
+
+def candidates(rows: DataFrame, all_pairs: bool) -> DataFrame:
+    """Pairs (a, b) of nodes, a < b, that share a band and whose bits are near.
+
+    rows: t, k, node, n, s0, s1, component. Without all_pairs, runs of at most SHORT rows give all their pairs and longer
+    ones chains; with it, longer runs give all pairs of unlike components.
+    """
+
+    def small(t: pa.Table, starts: np.ndarray):
+        sizes = np.diff(np.append(starts, t.num_rows))
+        cols = _columns(t)
+        a_all, b_all = [], []
+        run = np.repeat(np.arange(len(starts)), sizes)
+        short = (sizes <= SHORT)[run]
+        for d in range(1, 0 if all_pairs else min(SHORT, int(sizes.max()))):
+            i = np.flatnonzero((run[d:] == run[:-d]) & short[d:])
+            if len(i):
+                i = i[_apart([c[i] for c in cols], [c[i + d] for c in cols]) <= FAR]
+                a_all.append(cols[0][i])
+                b_all.append(cols[0][i + d])
+        for r in np.flatnonzero(sizes > SHORT):
+            part = [c[starts[r] : starts[r] + sizes[r]] for c in cols]
+            a, b = _across(part, part, True, all_pairs)
+            a_all.append(a)
+            b_all.append(b)
+        a, b = (np.concatenate(x) if x else np.array([], np.int64) for x in (a_all, b_all))
+        return (a, b) if len(a) else None
+
+    def pair(left: pa.Table, right: pa.Table, width: int):
+        cut = [[u.column(i).to_numpy() for i in (width + 3, *range(width + 4, width + 8))] for u in (left, right)]
+        return _across(*cut, left is right, all_pairs)
+
+    found = in_buckets(rows, ["t", "k"], "a bigint, b bigint", small, pair)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose sets (fp, hashes) have a Jaccard similarity of at least SIMILARITY."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    sets = stage(sets.join(ends, "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes")), "candidate-sets")
+    out = pairs
+    for end, other in (("a", "b"), ("b", "a")):
+        rows = salted(out, F.col(other))
+        hubs = fold(rows, [end], {"_n": F.count(F.lit(1))}, {"_n": F.sum("_n")}).drop("_n")
+        named = sets.select(F.col("fp").alias(end), F.col("hashes").alias(f"h_{end}"))
+        out = unfold(rows, hubs.join(named, end), [end])
+
+    def run(batches):
+        for b in slices(batches, 256):
+            x, y = ([np.frombuffer(v, "<u8") for v in b.column(b.schema.get_field_index(f"h_{e}")).to_pylist()] for e in "ab")
+            both = np.array([len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y, strict=True)], np.int64)
+            union = np.array([len(p) + len(q) for p, q in zip(x, y, strict=True)], np.int64) - both
+            yield b.select(["a", "b"]).filter(pa.array(both >= SIMILARITY * union))
+
+    return out.select("a", "b", "h_a", "h_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def links(found: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all sets `fp` of at least SIMILARITY, directly or through others linked."""
+    nodes = found.filter("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("n", "s0", "s1", "bands")])
+    rows = nodes.select(F.posexplode("bands").alias("t", "k"), F.col("fp").alias("node"), "n", "s0", "s1")
+    sets = found.select("fp", "hashes")
+    one = stage(verified(stage(candidates(rows.withColumn("component", F.col("node")), False), "candidates"), sets), "links")
+    big = stage(rows.groupBy("t", "k").count().filter(F.col("count") > SHORT).select("t", "k"), "long-runs")
+    if big.isEmpty():
+        return one
+    known = components(one).withColumnRenamed("component", "_c")
+    again = rows.join(big, ["t", "k"], "left_semi").join(known, "node", "left")
+    again = again.select("t", "k", "node", "n", "s0", "s1", F.coalesce("_c", "node").alias("component"))
+    more = stage(candidates(again, True), "candidates")
+    return one if more.isEmpty() else one.unionByName(stage(verified(more, sets), "links"))
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id, fp (key of the shingle set), component_id (smallest id reachable).
+
+    Two texts are linked if the Jaccard similarity of their five-word shingles is at least SIMILARITY. Texts without words
+    are one group. Null ids are passed over as component ids unless nothing else is in the component.
+    """
+    found = stage(signatures(docs, id_col, text_col), "signatures")
+    return grouped(found.select(id_col, "fp"), id_col, lambda groups: links(found)).select(id_col, "fp", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group: the one whose id is the component's; with repeated ids, the one of smallest set key."""
+    found = stage(near_copies(docs, id_col, text_col), "near")
+    kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
+    if ids_unique(found, id_col):
+        return keep_rows(docs, kept.select(id_col), id_col, True)
+    kept = kept.groupBy(id_col, "component_id").agg(F.min("fp").alias(ROW_KEY)).select(id_col, ROW_KEY)
+    key = F.udf(lambda t: set_key(shingle_set(t)), "bigint")
+    return keep_rows(docs, kept, id_col, False, lambda df: df.withColumn(ROW_KEY, key(F.col(text_col).cast("string"))))

@@ -17,22 +17,30 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 _BITS = np.arange(64, dtype=np.uint64)
 
 
-def fingerprint(text: str, words: int = SHINGLE) -> int:
-    """SimHash of the word shingles of a text, repeats included; zero for a text without words.
-
-    A-Z is lower-cased; words are what bytes.split() gives: runs without space, tab, line feed, vertical tab, form feed
-    and carriage return. A bit is set if it is set in over half of the shingles' hashes.
-    """
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """Hashes of the word shingles of a text, repeats included; a text of fewer words is one shingle, one without words none."""
     parts = text.encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.empty(0, "<u8")
     line = b" ".join(parts)
     gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
     starts, ends = np.append(0, gaps + 1), np.append(gaps, len(line))
     n = max(1, len(starts) - words + 1)
     digest = xxhash.xxh64_intdigest
     ends = ends[words - 1 :] if len(ends) >= words else ends[-1:]
-    h = np.array([digest(line[s:e], SEED) for s, e in zip(starts[:n].tolist(), ends.tolist(), strict=True)], dtype="<u8")
+    return np.array([digest(line[s:e], SEED) for s, e in zip(starts[:n].tolist(), ends.tolist(), strict=True)], dtype="<u8")
+
+
+def fingerprint(text: str, words: int = SHINGLE) -> int:
+    """SimHash of the word shingles of a text, repeats included; zero for a text without words.
+
+    A-Z is lower-cased; words are what bytes.split() gives: runs without space, tab, line feed, vertical tab, form feed
+    and carriage return. A bit is set if it is set in over half of the shingles' hashes.
+    """
+    h = shingle_hashes(text, words)
+    if not len(h):
+        return 0
+    n = len(h)
     counts = np.zeros(64, np.int64)
     for at in range(0, n, 65536):
         counts += np.unpackbits(h[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -112,6 +120,19 @@ def fp_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return in_buckets(rows, ["t", "k"], "a bigint, b bigint", small, pair).filter("a <> b").distinct()
 
 
+def grouped(rows: DataFrame, id_col: str, links_of) -> DataFrame:
+    """rows (id, fp) with component_id; links_of gives links (a, b) between values of fp, from one row each."""
+    rows = salted(rows, F.col(id_col))
+    groups = stage(fold(rows, ["fp"], {"_low": F.min(id_col)}, {"_low": F.min("_low")}), "fp-groups")
+    linked = components(links_of(groups))
+    labelled = groups.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    labelled = stage(labelled.withColumn("component", F.coalesce("component", "fp")), "fp-components")
+    members = salted(labelled.drop("_salts"), F.col("fp"))
+    lows = fold(members, ["component"], {"component_id": F.min("_low")}, {"component_id": F.min("component_id")})
+    ids = unfold(members, lows, ["component"]).select("fp", "component_id")
+    return unfold(rows, groups.select("fp", "_salts").join(ids, "fp"), ["fp"])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hex digits), component_id (smallest id reachable), fp.
 
@@ -119,15 +140,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     link like any other. Null ids are passed over as component ids unless nothing else is in the component. An empty
     table gives no rows. Other columns of docs are not read.
     """
-    rows = salted(stage(fingerprints(docs, id_col, text_col), "fingerprints"), F.col(id_col))
-    groups = stage(fold(rows, ["fp"], {"_low": F.min(id_col)}, {"_low": F.min("_low")}), "fp-groups")
-    linked = components(fp_links(groups.select("fp"), radius))
-    labelled = groups.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    labelled = stage(labelled.withColumn("component", F.coalesce("component", "fp")), "fp-components")
-    members = salted(labelled.drop("_salts"), F.col("fp"))
-    lows = fold(members, ["component"], {"component_id": F.min("_low")}, {"component_id": F.min("component_id")})
-    ids = unfold(members, lows, ["component"]).select("fp", "component_id")
-    out = unfold(rows, groups.select("fp", "_salts").join(ids, "fp"), ["fp"])
+    out = grouped(stage(fingerprints(docs, id_col, text_col), "fingerprints"), id_col, lambda groups: fp_links(groups.select("fp"), radius))
     return out.select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp")
 
 

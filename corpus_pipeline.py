@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import exact_dedup, langid, mixing, packing, simhash
+from broadsheet.llm import exact_dedup, jaccard_dedup, langid, mixing, packing
 from broadsheet.llm.common import stage, table
 from broadsheet.llm.queries import MIX_WEIGHTS, TOKENIZER, domain_of_labels
 
@@ -21,8 +21,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest doc_id."""
-    return simhash.drop_near_copies(docs)
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more), the document with the smallest doc_id."""
+    return jaccard_dedup.drop_near_copies(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
