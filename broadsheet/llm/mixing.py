@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,10 +17,12 @@ from broadsheet.llm.features import HashedTerms, labelled_sample, passages, sele
 #: Bounds of the classifier: labelled rows for each domain, terms, and the least G of a term.
 ROWS_PER_DOMAIN, TERMS, LEAST_G = 2500, 1024, 30.0
 EPOCHS, RATE, DECAY = 250, 0.05, 1e-4
-#: Passes of projected gradient at most, the largest share of the total by which a domain may miss its target, and the
-#: share of the miss that a step must take away for another to follow.
-STEPS, TOLERANCE, GAIN = 40, 2e-4, 0.05
+#: The fit ends when the weighed squared miss, as a share of the budget, is within TOLERANCE of the least that any rates reach.
+TOLERANCE = 1e-6
+#: Damping of the steps that are tried at once, from Newton's on the free rows to the gradient by supply, which always lowers the miss.
+DAMPING = (1e-9, 1e-6, 1e-5, 1e-4, 3e-4, 1e-3, 3e-3, 1e-2, 3e-2, 0.1, 0.3, 1.0)
 _WIDE = 1 << 40
+logger = logging.getLogger(__name__)
 
 
 @dataclass
@@ -96,13 +99,19 @@ class Mixture:
     most: float
     totals: dict[str, float]
     targets: dict[str, float]
+    away: float = 0.0
+
+    def report(self) -> str:
+        """Totals of tokens against targets by domain, and how far the miss may be from the least, as a share of the budget."""
+        parts = [f"{n} {self.totals[n]:.0f} of {self.targets[n]:.0f}" for n in self.totals]
+        return f"mixture: {', '.join(parts)} tokens; {len(self.steps)} steps, within {self.away:.1e} of the least miss"
 
     def rates(self, posteriors: np.ndarray) -> np.ndarray:
         return fold_steps(posteriors, self.steps, self.most)
 
 
-def fold_steps(posteriors: np.ndarray, steps: list[np.ndarray], most: float) -> np.ndarray:
-    r = np.ones(len(posteriors))
+def fold_steps(posteriors: np.ndarray, steps: list[np.ndarray], most: float, start: np.ndarray | None = None) -> np.ndarray:
+    r = np.ones(len(posteriors)) if start is None else start
     for g in steps:
         r = np.clip(r - posteriors @ g, 0.0, most)
     return r
@@ -122,10 +131,12 @@ def memberships(docs: DataFrame, model: DomainModel, id_col: str = "doc_id", tex
 def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float], budget: float | None = None, thin: bool = True) -> Mixture:
     """Nonnegative document rates whose expected domain token totals match budget * weights, by least squares.
 
-    A step is a sum over all documents: each task folds the steps so far over its rows and sends on the totals, and the
-    product sums of posteriors over the rows whose rate is not zero, a matrix of domains by domains. The gradient is scaled
-    by that matrix's inverse, so that rare domains converge as fast as common ones; a step that raises the weighed miss is
-    made smaller, and then scaled by the domains' supply alone, which always lowers it. With thin, rates are at most 1, so nothing repeats. The budget is, unless given, what the scarcest domain allows
+    A step takes two sums over all documents. The first gives the product sums of posteriors over the free rows, a matrix of
+    domains by domains, and how far the miss may be from the least (the gradient times the way to the bound that it points
+    to, a bound from convexity). Rows at a bound that want to go beyond it are not free. The second gives the totals after
+    each of the steps of DAMPING, and the best is taken. The fit ends when that distance is within TOLERANCE of the budget,
+    or no step lowers the miss any more, in floating point. With thin, rates are at most 1, so
+    nothing repeats. The budget is, unless given, what the scarcest domain allows
     without repeats, less a twentieth, for documents of mixed membership that go. Domains without a weight have weight 0.
     """
     names, d = model.domains, len(model.domains)
@@ -133,45 +144,61 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
     want = want / want.sum() if want.sum() > 0 else np.full(d, 1.0 / d)
     most = 1.0 if thin else np.inf
 
-    def sums(steps):
+    def sums(width, of):
+        """The sum of of(tokens, posteriors), a vector of `width`, over slices of all documents."""
+
         def run(batches):
-            total, gram = np.zeros(d), np.zeros((d, d))
+            out = np.zeros(width)
             for b in slices(batches, 1 << 15):
-                p = np.asarray(b.column(1).flatten()).reshape(-1, d)
-                r, t = fold_steps(p, steps, most), np.asarray(b.column(0), dtype=float)
-                total += (t * r) @ p
-                gram += (p * (t * (r > 0))[:, None]).T @ p
-            out = np.concatenate([total, gram.ravel()])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(out)], names=["k", "s"])
+                out += of(np.asarray(b.column(0), dtype=float), np.asarray(b.column(1).flatten()).reshape(-1, d))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(out)], names=["k", "s"])
 
         rows = members.select("tokens", "posteriors").mapInArrow(run, "k bigint, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
-        out = np.zeros(d + d * d)
+        out = np.zeros(width)
         for r in rows:
             out[r.k] = r.s
-        return out[:d], out[d:].reshape(d, d)
+        return out
+
+    def state(steps, slope):
+        def of(t, p):
+            r, z = fold_steps(p, steps, most), p @ slope
+            free = ((r > 0) | (z < 0)) & ((r < most) | (z > 0))
+            way = np.where(z > 0, r, r - most if thin else -1.0)
+            return np.append((t * z * way).sum(), (p * (t * free)[:, None]).T @ p)
+
+        out = sums(1 + d * d, of)
+        return out[0], out[1:].reshape(d, d)
+
+    def after(steps, tried):
+        def of(t, p):
+            r = fold_steps(p, steps, most)
+            return np.concatenate([(t * fold_steps(p, [g], most, r)) @ p for g in tried])
+
+        return sums(len(tried) * d, of).reshape(-1, d)
 
     steps: list[np.ndarray] = []
-    now, gram = sums(steps)
+    now = sums(d, lambda t, p: t @ p)
     safe = np.maximum(now, 1e-9)
     if budget is None:
         budget = 0.95 * float(min((s / w for s, w in zip(now, want, strict=True) if w > 0), default=0.0))
     goal = budget * want
-    best, tries = ((now - goal) ** 2 / safe).sum(), 0
-    while budget > 0 and tries < STEPS and np.abs(now - goal).max() > TOLERANCE * budget:
-        scaled = np.linalg.solve(gram + (1e-9 * np.trace(gram) + 1e-9) * np.eye(d), now - goal)
-        for step in (scaled, scaled / 4, (now - goal) / safe):
-            tries += 1
-            after = sums([*steps, step])
-            miss = ((after[0] - goal) ** 2 / safe).sum()
-            if miss < best:
-                break
-        else:
+    best, away = ((now - goal) ** 2 / safe).sum(), 0.0
+    while budget > 0:
+        slope = (now - goal) / safe
+        away, gram = state(steps, slope)
+        if away <= TOLERANCE * budget:
             break
-        steps.append(step)
-        (now, gram), gained, best = after, best - miss, miss
-        if gained < GAIN * (gained + best):
+        tried = [np.linalg.solve(gram / safe[:, None] + m * np.eye(d), slope) for m in DAMPING]
+        totals = after(steps, tried)
+        misses = ((totals - goal) ** 2 / safe).sum(axis=1)
+        at = int(misses.argmin())
+        if not misses[at] < best:
             break
-    return Mixture(model, steps, most, dict(zip(names, now.tolist(), strict=True)), dict(zip(names, goal.tolist(), strict=True)))
+        steps.append(tried[at])
+        now, best = totals[at], misses[at]
+    mixture = Mixture(model, steps, most, dict(zip(names, now.tolist(), strict=True)), dict(zip(names, goal.tolist(), strict=True)), away / budget if budget > 0 else 0.0)
+    logger.warning("%s", mixture.report())
+    return mixture
 
 
 def _draw(id_col: Column) -> Column:

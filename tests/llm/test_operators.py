@@ -291,6 +291,30 @@ def test_mixing_meets_targets(spark):
     assert miss(best) < 0.1 * miss(np.ones(len(got)))
 
 
+def members_of(spark, shares, n=4000, seed=6):
+    """(tokens, posteriors) of documents with well-separated posteriors, and a model of the three domains."""
+    r = np.random.default_rng(seed)
+    kinds = r.choice(3, n, p=shares)
+    p = np.array([r.dirichlet(np.where(np.arange(3) == k, 60.0, 0.3)) for k in kinds])
+    df = spark.createDataFrame([(int(t), x.tolist()) for t, x in zip(r.integers(20, 400, n), p, strict=True)], "tokens long, posteriors array<double>")
+    return df, p, mixing.DomainModel(["clean", "noisy", "toxic"], *[np.empty(0)] * 4)
+
+
+@pytest.mark.parametrize("shares", [(0.97, 0.02, 0.01), (0.8, 0.12, 0.08)])
+def test_mixing_ends_at_the_optimum(spark, shares):
+    df, p, model = members_of(spark, shares)
+    t = np.array([float(x.tokens) for x in df.collect()])
+    supply, want = t @ p, np.array(list(queries.MIX_WEIGHTS.values()))
+    budget = 0.6 * float(supply[0] / want[0])
+    mixture = mixing.fit_rates(df, model, queries.MIX_WEIGHTS, budget)
+    goal = np.minimum(budget * want, supply)
+    r = mixture.rates(p)
+    z = p @ (((t * r) @ p - goal) / supply)
+    assert (t * np.where(z > 0, z * r, z * (r - 1))).sum() <= 1.01 * mixing.TOLERANCE * budget
+    assert np.allclose((t * r) @ p, list(mixture.totals.values())) and mixture.away <= mixing.TOLERANCE
+    assert "noisy" in mixture.report()
+
+
 def test_mixing_edges(spark):
     df = odd_docs(spark)
     labels = spark.createDataFrame([(3, "a"), (9, "b"), (None, "a")], "doc_id long, d string")
