@@ -128,7 +128,7 @@ def memberships(docs: DataFrame, model: DomainModel, id_col: str = "doc_id", tex
     return over_text(docs, [id_col], text_col, "tokens bigint, posteriors array<double>", rows_of, rows=2000)
 
 
-def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float], budget: float | None = None, thin: bool = True) -> Mixture:
+def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float], budget: float | None = None, thin: bool = True, keep: str | None = None) -> Mixture:
     """Nonnegative document rates whose expected domain token totals match budget * weights, by least squares.
 
     A step takes two sums over all documents. The first gives the product sums of posteriors over the free rows, a matrix of
@@ -136,8 +136,9 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
     to, a bound from convexity). Rows at a bound that want to go beyond it are not free. The second gives the totals after
     each of the steps of DAMPING, and the best is taken. The fit ends when that distance is within TOLERANCE of the budget,
     or no step lowers the miss any more, in floating point. With thin, rates are at most 1, so
-    nothing repeats. The budget is, unless given, what the scarcest domain allows
-    without repeats, less a twentieth, for documents of mixed membership that go. Domains without a weight have weight 0.
+    nothing repeats. The budget is, unless given, the one at which the domain `keep` (by default the one of the largest
+    weight) has all its supply as its target, so that its documents stay; scarcer domains fall short of their targets with
+    thin, and are then fitted to their supply, or else repeat. Domains without a weight have weight 0.
     """
     names, d = model.domains, len(model.domains)
     want = np.array([weights.get(n, 0.0) for n in names])
@@ -180,8 +181,10 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
     now = sums(d, lambda t, p: t @ p)
     safe = np.maximum(now, 1e-9)
     if budget is None:
-        budget = 0.95 * float(min((s / w for s, w in zip(now, want, strict=True) if w > 0), default=0.0))
-    goal = budget * want
+        kept = names.index(keep) if keep is not None else int(np.lexsort((now, want))[-1])
+        budget = float(now[kept] / want[kept]) if want[kept] > 0 else 0.0
+    target = budget * want
+    goal = np.minimum(target, now) if thin else target
     best, away = ((now - goal) ** 2 / safe).sum(), 0.0
     while budget > 0:
         slope = (now - goal) / safe
@@ -196,7 +199,7 @@ def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float],
             break
         steps.append(tried[at])
         now, best = totals[at], misses[at]
-    mixture = Mixture(model, steps, most, dict(zip(names, now.tolist(), strict=True)), dict(zip(names, goal.tolist(), strict=True)), away / budget if budget > 0 else 0.0)
+    mixture = Mixture(model, steps, most, dict(zip(names, now.tolist(), strict=True)), dict(zip(names, target.tolist(), strict=True)), away / budget if budget > 0 else 0.0)
     logger.warning("%s", mixture.report())
     return mixture
 

@@ -300,6 +300,14 @@ def members_of(spark, shares, n=4000, seed=6):
     return df, p, mixing.DomainModel(["clean", "noisy", "toxic"], *[np.empty(0)] * 4)
 
 
+@pytest.mark.parametrize("shares", [(0.97, 0.02, 0.01), (0.985, 0.01, 0.005), (0.8, 0.12, 0.08), (0.95, 0.049, 0.001)])
+def test_mixing_keeps_clean_documents(spark, shares):
+    df, p, model = members_of(spark, shares)
+    mixture = mixing.fit_rates(df, model, queries.MIX_WEIGHTS)
+    assert mixture.rates(p)[p[:, 0] > 0.9].mean() > 0.995
+    assert mixture.totals["clean"] > 0.99 * mixture.targets["clean"]
+
+
 @pytest.mark.parametrize("shares", [(0.97, 0.02, 0.01), (0.8, 0.12, 0.08)])
 def test_mixing_ends_at_the_optimum(spark, shares):
     df, p, model = members_of(spark, shares)
