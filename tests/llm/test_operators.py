@@ -195,6 +195,25 @@ def test_secret_scan_rows(spark):
     assert secret_scan.find_secrets(df.limit(0)).count() == 0
 
 
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+@pytest.mark.parametrize("width", [16, 20, 24, 28, 31, 32, 40])
+def test_random_strings_of_any_length_are_found(width):
+    r = random.Random(width)
+    kinds = [{s[3] for s in secret_scan.scan("see " + "".join(r.choice(BASE64) for _ in range(width)) + " now")} for _ in range(2000)]
+    assert sum("entropy_base64" in k for k in kinds) >= 0.99 * len(kinds)
+
+
+def test_what_is_allowed_hides_no_key_beside_it():
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYzq3Ta9QhK2Ls"
+    for lead in ("files/0123456789/", "abcdefghijklmnopqrstuvwxyz/", "123e4567-e89b-12d3-a456-426614174000/"):
+        spans = [s for s in secret_scan.scan(lead + key) if s[3] == "entropy_base64"]
+        assert spans and spans[-1][2] == len(lead + key) and spans[-1][0] <= len(lead) + 8
+    for t in (BASE64, "123e4567-e89b-12d3-a456-426614174000", "the-quick-brown-fox-jumps-over-the-lazy-dog", "getElementsByTagName", "internationalization", "2024-01-15/archive/part-0001", "4526830644432327", "Wirtschaftsministerium"):
+        assert not [s for s in secret_scan.scan(t) if s[1] > 3], t
+
+
 # ------------------------------------------------------------ models
 
 
