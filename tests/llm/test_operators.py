@@ -232,6 +232,15 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_dictionary_has_all_sampled_documents(spark):
+    lead = "this site uses cookies and all rights are reserved by the owner " * 30
+    rows = [(i, f"{lead}{' '.join(f'{w}{chr(97 + i // 26)}{chr(97 + i % 26)}' for w in ('mark', 'sign', 'note', 'clue') * 100)}", "en") for i in range(200)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    data = model.dictionaries["en"].decode()
+    assert len(data) <= langid.DICTIONARY_BYTES
+    assert all(f"mark{chr(97 + i // 26)}{chr(97 + i % 26)}" in data or f"sign{chr(97 + i // 26)}{chr(97 + i % 26)}" in data for i in range(200))
+
+
 def test_language_edges(spark):
     df = odd_docs(spark)
     model = langid.train(df, F.lit(True))
