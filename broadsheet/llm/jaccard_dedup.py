@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import ROW_KEY, fold, ids_unique, keep_rows, over_text, salted, slices, stage, unfold
@@ -19,12 +19,22 @@ _HASHES = 128
 FAR, NEAR = 26, 13
 #: Longer runs are first linked along a chain; only pairs that it leaves apart are then compared.
 SHORT = 24
+#: Bytes that one Arrow batch holds.
+BATCH_BYTES = 1 << 20
 _R = np.random.default_rng(42)
 _MUL = _R.integers(0, 1 << 63, _HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _R.integers(0, 1 << 63, _HASHES, np.uint64)
 _MIX = _R.integers(0, 1 << 63, (BANDS, BAND), np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def small_bytes(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, in which sets of shingles are long, unless the session already asks for less."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None)
+    if not (now or "").isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of the five-word shingles; a shorter text is one shingle, one without words none."""
     return np.unique(shingle_hashes(text or "", SHINGLE))
@@ -148,8 +158,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links(found: DataFrame) -> DataFrame:
     """Links (a, b) that connect all sets `fp` of at least SIMILARITY, directly or through others linked."""
-    nodes = found.filter("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("n", "s0", "s1", "bands")])
-    rows = nodes.select(F.posexplode("bands").alias("t", "k"), F.col("fp").alias("node"), "n", "s0", "s1")
+    # one column a band: an array among the aggregates would be sorted, and kept in memory for that
+    bands = [F.col("bands")[i].alias(f"b{i}") for i in range(BANDS)]
+    nodes = found.filter("n > 0").select("fp", "n", "s0", "s1", *bands)
+    nodes = nodes.groupBy("fp").agg(*[F.first(c).alias(c) for c in nodes.columns[1:]])
+    rows = nodes.select(F.posexplode(F.array(*[f"b{i}" for i in range(BANDS)])).alias("t", "k"), F.col("fp").alias("node"), "n", "s0", "s1")
     sets = found.select("fp", "hashes")
     one = stage(verified(stage(candidates(rows.withColumn("component", F.col("node")), False), "candidates"), sets), "links")
     big = stage(rows.groupBy("t", "k").count().filter(F.col("count") > SHORT).select("t", "k"), "long-runs")
@@ -168,6 +181,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Two texts are linked if the Jaccard similarity of their five-word shingles is at least SIMILARITY. Texts without words
     are one group. Null ids are passed over as component ids unless nothing else is in the component.
     """
+    small_bytes(docs.sparkSession)
     found = stage(signatures(docs, id_col, text_col), "signatures")
     return grouped(found.select(id_col, "fp"), id_col, lambda groups: links(found)).select(id_col, "fp", "component_id")
 
