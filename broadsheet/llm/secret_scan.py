@@ -40,7 +40,7 @@ class CharClass:
     shorter: tuple[tuple[int, float], ...] = ()
 
 
-#: The shorter windows find 99.8 % of random base64 strings of their width or more.
+#: The shorter windows find at least 99.7 % of random base64 strings of their width or more.
 CLASSES = (
     CharClass("entropy_hex", re.compile(r"[0-9A-Fa-f]{24,}"), 24, 3.0),
     CharClass("entropy_base64", re.compile(r"[A-Za-z0-9+/_=-]{16,}"), 32, 4.1, ((16, 3.2), (20, 3.5), (24, 3.75))),
