@@ -5,6 +5,8 @@ from __future__ import annotations
 import bisect
 import heapq
 import json
+import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +32,19 @@ TEXT_BYTES, KNOWN_WORDS = 16 << 20, 250_000
 # ---------------------------------------------------------------- tokens
 
 
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def ascii_lower(text: str) -> str:
+    return text.translate(_LOWER)
+
+
 class WordBPE:
     """Ids of a lower-casing word-end BPE vocabulary file, for many texts at once.
 
     A text's white-space chunks don't touch one another's ids, so each distinct chunk of a batch is encoded once and the
     ids are gathered. Chunks in Latin letters go through a byte-level encoder with the vocabulary's ids as merge ranks;
-    all others go through the tokenizers library itself. Strings of special tokens are ordinary text.
+    all others, and chunks that hold the string of a special token, go through the tokenizers library itself.
     """
 
     #: The vocabulary's own pattern of pieces.
@@ -43,15 +52,19 @@ class WordBPE:
     #: Characters that normalisation may change in other ways than to lower case.
     ODD = regex.compile("[^\\x20-\\u02ff\\n]|[\\x7f-\\xa0\\xad\\u0130]")
 
+    #: What ascii_split_whitespace leaves whole.
+    CHUNK = re.compile("[^ \\t\\n\\x0b\\x0c\\r]+")
+
     def __init__(self, path: str):
         self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the file
         hidden = [b for b in range(256) if b not in shown]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        special = set(self.slow.get_added_tokens_decoder())
+        added = self.slow.get_added_tokens_decoder()
+        special = set(added)
+        self.specials = re.compile("|".join(re.escape(t.content) for t in added.values()), re.IGNORECASE) if added else None
         ranks = {}
         for token, i in vocab.items():
             if i not in special:
@@ -68,9 +81,9 @@ class WordBPE:
             return np.empty(0, np.uint32), np.zeros(1, np.int64)
         line = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py()
         odd = {}
-        if self.ODD.search(line):
+        if self.ODD.search(line) or (self.specials and self.specials.search(line)):
             parts = line.split("\n")
-            odd = {i: w for i, w in enumerate(parts) if self.ODD.search(w)}
+            odd = {i: w for i, w in enumerate(parts) if self.ODD.search(w) or (self.specials and self.specials.search(w))}
             line = "\n".join("" if i in odd else w for i, w in enumerate(parts))
         ids = self.fast.encode_to_numpy(self.PIECES.sub("\\g<0>\x01", line.lower()) + "\n")
         ends = np.flatnonzero(ids == self.newline)
@@ -83,9 +96,20 @@ class WordBPE:
             ids, sizes = np.concatenate(pieces), np.array([len(p) for p in pieces])
         return ids.astype(np.uint32, copy=False), np.append(0, np.cumsum(sizes))
 
+    def _lower(self, column: pa.Array) -> pa.Array:
+        """A-Z lower-cased, but not in white-space chunks with the string of a special token in any case, which counts as written."""
+        low = pc.ascii_lower(column)
+        if self.specials is None:
+            return low
+        held = pc.match_substring_regex(column, self.specials.pattern, ignore_case=True)
+        if not pc.any(held).as_py():
+            return low
+        kept = [self.CHUNK.sub(lambda m: m[0] if self.specials.search(m[0]) else ascii_lower(m[0]), t) if h else None for t, h in zip(column.to_pylist(), held.to_pylist(), strict=True)]
+        return pc.if_else(held, pa.array(kept, pa.string()), low)
+
     def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text of a column in order; null is empty."""
-        chunks = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+        chunks = pc.ascii_split_whitespace(self._lower(pc.fill_null(column, "")))
         coded = chunks.flatten().dictionary_encode()
         words = pc.if_else(pc.equal(coded.dictionary, ""), None, coded.dictionary)
         met = pc.index_in(words, value_set=self.known)
