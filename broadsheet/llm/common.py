@@ -6,13 +6,14 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Salts per group key. Rows of a key exist in at most this many salted parts, so it bounds what a key gathers.
 SALTS = 1024
-#: Rows of text that are handed to Python code at once; bounds the memory of a worker.
-ROWS_AT_ONCE = 512
+#: Rows and bytes that are handed to Python code at once, at least one row; they bound the memory of a worker.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 512, 8 << 20
 
 #: Tells rows of one id apart; no table has a column of this name.
 ROW_KEY = "__broadsheet_row_key"
@@ -24,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"/tmp/checkpoints/{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir()
@@ -56,11 +59,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, unless the session already asks for less."""
+def small_batches(spark: SparkSession, size: int = BYTES_AT_ONCE) -> None:
+    """Bound the rows and bytes of an Arrow batch, unless the session already asks for less."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > 2000:
         spark.conf.set(key, "2000")
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None) or ""
+    if not now.isdigit() or not 0 < int(now) <= size:
+        spark.conf.set(key, str(size))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,34 +105,46 @@ def unfold(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(right, on).select(*[F.col(f"l.{c}") for c in df.columns if c != "_salt"], *take)
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, unique: bool, key_of=None) -> DataFrame:
-    """The rows of docs that `kept` names, each once; their columns stay as they are.
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """docs with ROW_KEY, which names each row: the hash of its file's path and its place there.
 
-    kept: id_col, and a column ROW_KEY that `key_of(docs)` gives where ids repeat. Where ids are unique the id alone decides.
-    The decisions are the hashed side, so the wide rows are dealt once and never sorted.
+    Anything but a plain Parquet table is written to the shared folder first, so that a row keeps its key however often and
+    wherever its partition is computed.
     """
-    names = docs.columns
-    if unique:
-        on = docs[id_col].eqNullSafe(F.col("k._id"))
-        return docs.join(kept.select(F.col(id_col).alias("_id")).hint("shuffle_hash").alias("k"), on, "left_semi")
-    keyed = key_of(docs)
-    on = keyed[id_col].eqNullSafe(F.col("k._id")) & keyed[ROW_KEY].eqNullSafe(F.col("k._k"))
-    right = kept.select(F.col(id_col).alias("_id"), F.col(ROW_KEY).alias("_k")).alias("k")
-    found = keyed.join(right, on, "left_semi")
-    return found.dropDuplicates([id_col, ROW_KEY]).select(*names)
+
+    def keyed(df):
+        meta = df.metadataColumn("_metadata")
+        return df.select(*[df[f"`{c}`"] for c in df.columns], F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row")).alias(ROW_KEY))
+
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            return keyed(docs)
+        except AnalysisException:  # not Parquet
+            pass
+    return keyed(stage(docs, "rows"))
 
 
-def ids_unique(df: DataFrame, id_col: str) -> bool:
-    return df.groupBy(id_col).count().filter("count > 1").isEmpty()
+def keep_rows(keyed: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of keyed, as with_row_key gives it, whose ROW_KEY is in kept; without the key, other columns as they are.
+
+    The decisions are the hashed side, so the wide rows are dealt once and never sorted.
+    """
+    return keyed.join(kept.select(ROW_KEY).hint("shuffle_hash"), ROW_KEY, "left_semi").drop(ROW_KEY)
 
 
 # ---------------------------------------------------------------- text batches
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Batches cut to at most `rows` rows and about `size` bytes, at least one row each."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        at = 0
+        while at < batch.num_rows:
+            n = min(rows, batch.num_rows - at)
+            while n > 1 and batch.slice(at, n).nbytes > size:
+                n = (n + 1) // 2
+            yield batch.slice(at, n)
+            at += n
 
 
 def texts(column: pa.Array) -> list[str]:
@@ -133,10 +152,11 @@ def texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def over_text(df: DataFrame, columns: Sequence[str], text_col: str, out_schema: str, rows_of, rows: int = ROWS_AT_ONCE) -> DataFrame:
+def over_text(df: DataFrame, columns: Sequence[str], text_col: str, out_schema: str, rows_of, rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE) -> DataFrame:
     """rows_of(texts) gives columns of results by name for a list of texts; `columns` of df go through unchanged.
 
-    Reads only the columns named, keeps a bounded number of texts in Python, and shuffles nothing.
+    Reads only the columns named, keeps a bounded number of texts and bytes (or one text) in Python, and shuffles nothing.
+    A column that has the name of a result is an error.
     """
     small_batches(df.sparkSession)
     narrow = df.select(*[df[c] for c in columns], df[text_col].cast("string").alias("_text"))
@@ -145,7 +165,7 @@ def over_text(df: DataFrame, columns: Sequence[str], text_col: str, out_schema:
     width = len(kept)
 
     def run(batches):
-        for b in slices(batches, rows):
+        for b in slices(batches, rows, size):
             got = rows_of(texts(b.column(width)))
             arrays = [b.column(i) for i in range(width)] + [v if isinstance(v, pa.Array) else pa.array(v) for v in got.values()]
             yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in kept] + list(got))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_BITS = 20
@@ -18,24 +18,51 @@ _WORD = re.compile(r"\w+")
 # ---------------------------------------------------------------- samples
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows, label: Column, per_class: dict, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, object]]:
-    """(text, label) of at most per_class[value] documents for each value of `label`, those with the lowest hashed ids.
+#: Bytes of sampled texts that the driver holds for each label.
+SAMPLE_BYTES = 48 << 20
 
-    labels and docs are joined on the id, `rows(id column)` says which may be learned from. Only the sample's texts reach
-    the driver. Of labels that repeat an id the largest counts; null ids, labels and texts are left out.
+
+def longest(docs: DataFrame, id_col: str, text_col: str, *also: Column) -> DataFrame:
+    """One row an id: _id, _n (bytes), _k (hash) of its longest text, of equally long ones that of the largest hash, and the
+    row's `also`. Rows with null ids or texts are left out. No text is shuffled."""
+    text = docs[text_col].cast("string")
+    rows = docs.select(docs[id_col].alias("_id"), F.octet_length(text).alias("_n"), F.xxhash64(text).alias("_k"), *also).filter("_id is not null and _n is not null")
+    rest = rows.columns[1:]
+    return rows.groupBy("_id").agg(F.max(F.struct(*rest)).alias("_r")).select("_id", *[f"_r.{c}" for c in rest])
+
+
+def sampled(keys: DataFrame, docs: DataFrame, per_class: dict, most_bytes: int, id_col: str, text_col: str) -> list[tuple[object, str]]:
+    """(label, text) of at most per_class[value] documents and most_bytes bytes for each value of _y, in the order of hashed ids.
+
+    keys are rows of longest() with a label _y. A document that the bytes left have no room for is passed over. Only the
+    sample's texts leave the executors, one for each id, however often it repeats.
     """
-    one = labels.select(F.col(id_col).alias("_id"), label.alias("y")).filter("_id is not null and y is not null")
-    one = one.filter(rows(F.col("_id"))).groupBy("_id").agg(F.max("y").alias("y"))
-    one = one.withColumn("h", F.xxhash64(F.col("_id").cast("string"))).withColumn("h", F.col("h"))
-    there = docs.filter(docs[text_col].isNotNull()).select(docs[id_col].alias("_id"))
-    one = one.join(there, "_id", "left_semi")
-    picked = {}
-    for value, n in per_class.items():
-        picked |= {r._id: r.y for r in one.filter(F.col("y") == F.lit(value)).orderBy("h", "_id").limit(n).collect()}
+    order = Window.partitionBy("_y").orderBy("_h", "_id")
+    ranked = keys.withColumn("_h", F.xxhash64(F.col("_id").cast("string"))).withColumn("_rank", F.row_number().over(order))
+    picked, left, taken = {}, dict.fromkeys(per_class, most_bytes), dict.fromkeys(per_class, 0)
+    for r in ranked.filter(F.col("_rank") <= max(per_class.values(), default=0)).orderBy("_y", "_rank").collect():
+        if taken.get(r["_y"], 0) < per_class.get(r["_y"], 0) and r["_n"] <= left[r["_y"]]:
+            left[r["_y"]] -= r["_n"]
+            taken[r["_y"]] += 1
+            picked[r["_id"]] = (r["_k"], r["_y"])
     if not picked:
         return []
-    found = docs.filter(docs[id_col].isin(sorted(picked))).select(docs[id_col].alias("_id"), docs[text_col].cast("string").alias("t")).collect()
-    return [(r.t, picked[r._id]) for r in sorted(found, key=lambda r: (r._id, r.t or "")) if r.t is not None]
+    ids, hashes = sorted(picked), sorted({k for k, _ in picked.values()})
+    text = docs[text_col].cast("string")
+    found = docs.filter(docs[id_col].isin(ids)).select(docs[id_col].alias("_id"), F.xxhash64(text).alias("_k"), text.alias("_t")).filter(F.col("_k").isin(hashes))
+    found = found.groupBy("_id", "_k").agg(F.min("_t").alias("_t")).collect()
+    return [(picked[r["_id"]][1], r["_t"]) for r in sorted(found, key=lambda r: r["_id"]) if picked[r["_id"]][0] == r["_k"]]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows, label: Column, per_class: dict, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, object]]:
+    """(text, label) of at most per_class[value] documents and most_bytes bytes for each value of `label`, as sampled() picks.
+
+    labels and docs are joined on the id, `rows(id column)` says which may be learned from. Of labels that repeat an id the
+    largest counts, of documents the longest; null ids, labels and texts are left out. Without any the sample is empty.
+    """
+    one = labels.select(F.col(id_col).alias("_id"), label.alias("_y")).filter("_id is not null and _y is not null")
+    one = one.filter(rows(F.col("_id"))).groupBy("_id").agg(F.max("_y").alias("_y"))
+    return [(t, y) for y, t in sampled(longest(docs, id_col, text_col).join(one, "_id"), docs, per_class, most_bytes, id_col, text_col)]
 
 
 # ---------------------------------------------------------------- terms

@@ -6,12 +6,11 @@ import logging
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import ids_unique, keep_rows, over_text, slices, stage, texts
+from broadsheet.llm.common import ROW_KEY, over_text, slices, stage, with_row_key
 from broadsheet.llm.features import HashedTerms, labelled_sample, passages, select_terms
 
 #: Bounds of the classifier: labelled rows for each domain, terms, and the least G of a term.
@@ -22,6 +21,8 @@ TOLERANCE = 1e-6
 #: Damping of the steps that are tried at once, from Newton's on the free rows to the gradient by supply, which always lowers the miss.
 DAMPING = (1e-9, 1e-6, 1e-5, 1e-4, 3e-4, 1e-3, 3e-3, 1e-2, 3e-2, 0.1, 0.3, 1.0)
 _WIDE = 1 << 40
+#: How often a row is repeated; no table has a column of this name.
+COPIES = "__broadsheet_copies"
 logger = logging.getLogger(__name__)
 
 
@@ -128,7 +129,7 @@ def memberships(docs: DataFrame, model: DomainModel, id_col: str = "doc_id", tex
     return over_text(docs, [id_col], text_col, "tokens bigint, posteriors array<double>", rows_of, rows=2000)
 
 
-def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float], budget: float | None = None, thin: bool = True, keep: str | None = None) -> Mixture:
+def fit_rates(members: DataFrame, model: DomainModel, weights: dict[str, float], budget: float | None = None, thin: bool = False, keep: str | None = None) -> Mixture:
     """Nonnegative document rates whose expected domain token totals match budget * weights, by least squares.
 
     A step takes two sums over all documents. The first gives the product sums of posteriors over the free rows, a matrix of
@@ -209,11 +210,13 @@ def _draw(id_col: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("mix"), id_col.cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def mix(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", budget: float | None = None, thin: bool = True) -> tuple[DataFrame, Mixture]:
+def mix(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", budget: float | None = None, thin: bool = False, draw_by: Column | None = None) -> tuple[DataFrame, Mixture]:
     """(rows, mixture): one row per row of docs: id, tokens, posteriors, domain, rate, copies.
 
-    copies is the rate rounded down or up by a number drawn from the id, so its expectation is the rate. Null and empty
-    texts have no tokens and a rate like any other. An empty table gives no rows. Other columns of docs are not read.
+    copies is the rate rounded down or up by a number drawn from the id (or draw_by, of it), so its expectation is the rate.
+    Without thin, rates over 1 repeat documents of scarce domains, and totals meet their targets. Null and empty texts have
+    no tokens and a rate like any other; rows that repeat an id are rated by their own texts. An empty table gives no rows.
+    Other columns of docs are not read.
     """
     members = stage(memberships(docs, model, id_col, text_col), "memberships")
     mixture = fit_rates(members, model, weights, budget, thin)
@@ -227,28 +230,20 @@ def mix(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col:
     kind = members.schema[id_col].dataType.simpleString()
     rated = members.mapInArrow(run, f"`{id_col}` {kind}, tokens bigint, posteriors array<double>, rate double")
     best = F.element_at(names, F.array_position("posteriors", F.array_max("posteriors")).cast("int"))
-    copies = F.floor("rate") + (_draw(F.col(id_col)) < F.col("rate") - F.floor("rate")).cast("int")
+    draw = _draw(F.col(id_col) if draw_by is None else draw_by)
+    copies = F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")
     return rated.select(id_col, "tokens", "posteriors", best.alias("domain"), "rate", copies.cast("int").alias("copies")), mixture
 
 
 def mixed_rows(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that the mixture's rates keep, each at most once, with all their columns.
+    """The rows of docs as often as the mixture's rates ask for, with all their columns.
 
-    Texts are classified once and the decisions joined by id; where ids repeat, the rate is found again for each row.
+    Texts are classified once; the decisions are joined by a key of rows, so each row is drawn by its own rate.
     """
-    rows, mixture = mix(docs, model, weights, id_col, text_col)
-    rows = stage(rows.select(id_col, "copies"), "mixture")
-    if ids_unique(rows, id_col):
-        return keep_rows(docs, rows.filter("copies > 0"), id_col, True)
-    spare = "_rate"
-    while spare in docs.columns:
-        spare += "_"
-
-    @F.pandas_udf("double")
-    def rate(column: pd.Series) -> pd.Series:
-        batch, out = texts(pa.array(column, pa.string())), []
-        for at in range(0, len(batch), 256):
-            out.append(mixture.rates(model.posteriors(batch[at : at + 256])))
-        return pd.Series(np.concatenate(out) if out else np.empty(0))
-
-    return docs.withColumn(spare, rate(F.col(text_col).cast("string"))).filter(_draw(F.col(id_col)) < F.col(spare)).drop(spare)
+    keyed = with_row_key(docs)
+    at = F.struct(keyed[id_col].alias("id"), keyed[ROW_KEY].alias("key"))
+    rows, _ = mix(keyed.select(at.alias("at"), keyed[text_col].cast("string").alias("text")), model, weights, "at", "text", draw_by=F.col("at.id"))
+    kept = stage(rows.filter("copies > 0").select(F.col("at.key").alias(ROW_KEY), "copies"), "mixture")
+    again = F.explode(F.array_repeat(F.lit(1), F.col(COPIES))).alias(COPIES)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return keyed.join(kept.withColumnRenamed("copies", COPIES).hint("shuffle_hash"), ROW_KEY).select(*names, again).drop(COPIES)

@@ -30,7 +30,9 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = exact_dedup.DigestIndex(spark).deduplicate(table(spark, sf_dir, "documents"))
+    index = exact_dedup.DigestIndex(spark)
+    out = index.deduplicate(table(spark, sf_dir, "documents"))
+    index.close()
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 

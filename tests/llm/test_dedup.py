@@ -82,6 +82,29 @@ def test_index_persists_and_only_new_texts_stay(spark):
     assert reopened.rows().count() == 3
 
 
+def test_a_batch_sent_again_gets_the_same_decisions(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "A"), (3, "b")], "doc_id long, text string")
+    index = exact_dedup.DigestIndex(spark, buckets=2)
+    once = sorted(map(str, index.deduplicate(df).collect()))
+    assert sorted(map(str, index.deduplicate(df).collect())) == once and index.rows().count() == 2
+    named = exact_dedup.DigestIndex(spark, buckets=2)
+    first = {r.doc_id for r in named.deduplicate(df, batch="monday").collect() if r.kept}
+    assert first == {2, 3} and not any(r.kept for r in named.deduplicate(df, batch="tuesday").collect())
+
+
+def test_index_is_opened_again_as_it_was_made(spark):
+    index = exact_dedup.DigestIndex(spark, buckets=16)
+    texts = [(i, f"text {i}") for i in range(300)]
+    assert sum(r.kept for r in index.deduplicate(spark.createDataFrame(texts, "doc_id long, text string")).collect()) == 300
+    index.close()
+    with pytest.raises(ValueError, match="16 buckets"):
+        exact_dedup.DigestIndex(spark, path=index.path, buckets=4)
+    with pytest.raises(ValueError, match="type bigint"):
+        exact_dedup.DigestIndex(spark, path=index.path, id_type="string")
+    again = spark.createDataFrame([(i + 1000, t) for i, t in texts], "doc_id long, text string")
+    assert not any(r.kept for r in exact_dedup.DigestIndex(spark, path=index.path).deduplicate(again).collect())
+
+
 def test_drop_copies_keeps_columns_and_one_of_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a", 5), (1, "a", 5), (1, "B", 7), (2, "b", 6)], "doc_id long, text string, kept int")
     got = sorted(map(tuple, exact_dedup.drop_copies(df).collect()))
@@ -112,9 +135,6 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, block):
     got = {r.doc_id: r for r in simhash.near_duplicates(df).collect()}
     assert [got[i].component_id for i in range(len(texts))] == want
     assert [int(got[i].fingerprint, 16) for i in range(len(texts))] == fps
-    kept = simhash.drop_near_copies(df)
-    assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from broadsheet.llm import graph, jaccard_dedup, simhash
+from broadsheet.llm import graph, simhash
 from tests.llm.test_dedup import brute_components
 
 WORDS = [f"w{i}" for i in range(3000)]
@@ -52,12 +53,27 @@ def test_components_equal_brute_force_in_long_runs(spark, monkeypatch, block):
     r.shuffle(texts)
     want = brute_components([shingles(t) for t in texts], alike)
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, fp string")
-    assert [x.component_id for x in sorted(jaccard_dedup.near_copies(df).collect())] == want
-    kept = jaccard_dedup.drop_near_copies(df)
+    assert [x.component_id for x in sorted(simhash.similar_documents(df).collect())] == want
+    kept = simhash.drop_near_copies(df)
     assert kept.columns == df.columns and sorted(x.doc_id for x in kept.collect()) == sorted(set(want))
-    assert jaccard_dedup.near_copies(df.limit(0)).count() == 0
+    assert simhash.similar_documents(df.limit(0)).count() == 0
 
 
 def test_repeated_ids_keep_one_row(spark):
     df = spark.createDataFrame([(1, "a b c d e f"), (1, "A b c d e f"), (None, "x y"), (2, "q")], "doc_id long, text string")
-    assert sorted((str(x.doc_id), x.text.lower()) for x in jaccard_dedup.drop_near_copies(df).collect()) == [("1", "a b c d e f"), ("2", "q"), ("None", "x y")]
+    assert sorted((str(x.doc_id), x.text.lower()) for x in simhash.drop_near_copies(df).collect()) == [("1", "a b c d e f"), ("2", "q"), ("None", "x y")]
+
+
+def test_unrelated_texts_of_one_id_all_stay(spark):
+    rows = [(5, "one two three four five six"), (5, "seven eight nine ten eleven twelve"), (6, "a b c d e f g"), (7, "One two three four five six")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(x.text for x in simhash.drop_near_copies(df).collect()) == sorted(t for _, t in rows[:3])
+
+
+def test_parts_of_equal_sets_are_equal_and_short_sets_have_all(spark):
+    a = simhash.shingle_set("a b c d e f")
+    assert len(a) == 2 and (simhash.part_fingerprints(a) == simhash.part_fingerprints(a[::-1].copy())).all()
+    assert not simhash.part_fingerprints(simhash.shingle_set("")).any() and simhash.majority(simhash.shingle_set(None)) == 0
+    long = simhash.shingle_set(" ".join(f"w{i}" for i in range(30000)))
+    counts = ((long[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(axis=0)
+    assert int(simhash.majority(long)) == sum(1 << i for i, c in enumerate(counts) if 2 * c > len(long))

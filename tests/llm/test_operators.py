@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -16,7 +17,7 @@ from broadsheet.llm import embedding_dedup, langid, mixing, packing, quality, qu
 from broadsheet.llm.features import HashedTerms, passages
 
 SF = "/root/testdata/sf0.001"
-ODD = ["", None, " ", "É é ÑandÚ!! it's we'll", "İstanbul  x\x1cy", "日本語 テキスト 123 ½", "<|endoftext|> a", "a" * 30000, "x\x00y \x01z", "don't STOP... 3.14"]
+ODD = ["", None, " ", "É é ÑandÚ!! it's we'll", "İstanbul  x\x1cy", "日本語 テキスト 123 ½", "<|endoftext|> a", "HELLO <|startoftext|>World\x0b<|STARTOFTEXT|> <|endoftext|", "a" * 30000, "x\x00y \x01z", "don't STOP... 3.14"]
 
 
 def odd_docs(spark):
@@ -28,7 +29,6 @@ def odd_docs(spark):
 
 def test_batched_ids_equal_the_library():
     slow = Tokenizer.from_file(queries.TOKENIZER)
-    slow.encode_special_tokens = True
     fast = packing.WordBPE(queries.TOKENIZER)
     r = random.Random(1)
     alphabet = "abcdefghijklmnopqrstuvwxyzABCéüßñœ0123456789.,!'-_#$%&*|/\"()  \n\t  ½日"
@@ -36,6 +36,7 @@ def test_batched_ids_equal_the_library():
     for _ in range(2):  # the second time, words are known
         got = list(fast.encode(pa.array(batch, pa.string())))
         assert [g.tolist() for g in got] == [slow.encode(t or "", add_special_tokens=False).ids for t in batch]
+    assert [g.tolist() for g in fast.encode(pa.array(["hello <|startoftext|> world"]))] == [[3306, 49406, 1002]]
 
 
 def test_differencing_is_even_and_complete():
@@ -54,7 +55,6 @@ def test_differencing_is_even_and_complete():
 
 def check_pieces(rows, docs, window):
     slow = Tokenizer.from_file(queries.TOKENIZER)
-    slow.encode_special_tokens = True
     want = defaultdict(list)
     for i, t in docs:
         want[i].append(np.array([*slow.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes())
@@ -252,6 +252,46 @@ def test_language_edges(spark):
     assert kept.columns == df.columns and all(r.text and any(c.isalpha() for c in r.text) for r in kept.collect())
 
 
+def test_sizes_equal_plain_compression():
+    model = langid.LanguageModel({"a": b"the quick brown fox jumps over the lazy dog " * 4, "b": b"der schnelle braune fuchs springt " * 4})
+    r = random.Random(4)
+    for n in (1, 5, 40, 3000):
+        text = langid.letters(" ".join(r.choice("the quick fox der braune fuchs zzz".split()) for _ in range(n)))
+        want = []
+        for name in ("a", "b"):
+            coder = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(model.dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+            want.append(sum(len(coder.compress(f" {text[i : i + 1024]} ".encode())) for i in range(0, len(text), 1024)))
+        got = model.sizes(text)
+        assert np.abs(got - np.array(want)).max() <= 2 + 0.01 * max(want)
+        assert model.predict(text)[0] in ("a", "b")
+    assert langid.LanguageModel({"a": b"x y z " * 20, "b": b"x y z " * 20}, {"a": 1, "b": 5}).predict("x y z")[:1] + (False,) == ("b", langid.LanguageModel({"a": b"x y z " * 20, "b": b"x y z " * 20}).predict("x y z")[3])
+
+
+def test_a_sample_is_bounded_by_rows_and_bytes(spark):
+    from broadsheet.llm.features import labelled_sample
+
+    docs = spark.range(10_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 3).alias("text"), F.lit("en").alias("lang"))
+    docs = docs.unionByName(spark.createDataFrame([(8, "x" * 5000, "en"), (9, "short", "en"), (9, None, "en"), (None, "y", "en"), (10, "zz", "de")], "doc_id long, text string, lang string"))
+    labels = spark.createDataFrame([(7, 1), (8, 1), (8, 0), (9, 1), (9, 1), (None, 1), (10, 0), (11, 1), (12, None)], "doc_id long, y int")
+    got = labelled_sample(docs, labels, lambda c: F.lit(True), F.col("y"), {1: 100, 0: 100}, most_bytes=4000)
+    assert len(got) == 3 and sorted(t for t, _ in got)[:1] == ["short"] and {y for t, y in got if t == "zz"} == {0}
+    assert len(labelled_sample(docs, labels, lambda c: F.lit(True), F.col("y"), {1: 2, 0: 1})) == 3
+    assert labelled_sample(docs, labels.limit(0), lambda c: F.lit(True), F.col("y"), {1: 2}) == []
+    model = langid.train(docs, F.lit(True), docs_per_language=2)
+    assert set(model.dictionaries) == {"en", "de"} and model.prior["en"] == 10_002
+    assert langid.identify(docs.limit(0), model).count() == 0 and langid.accepted_rows(docs.limit(0), model).columns == docs.columns
+
+
+def test_log_odds_sum_over_all_pairs():
+    r = np.random.default_rng(9)
+    m = toxicity.FactorizationMachine(np.arange(12), 0.3, r.normal(size=12), r.normal(size=(12, 4)))
+    for terms in (np.array([], int), np.array([3]), np.array([0, 4, 7, 11])):
+        want = m.bias + m.weights[terms].sum() + sum(m.factors[a] @ m.factors[b] for i, a in enumerate(terms) for b in terms[i + 1 :])
+        assert math.isclose(m.log_odds(terms), want, rel_tol=1e-9)
+    # a score of exactly the threshold counts
+    assert toxicity.FactorizationMachine(np.empty(0, int), 0.0, np.zeros(0), np.zeros((0, 4))).scores([np.empty(0, int)])[0] == 0.5
+
+
 def test_toxicity_held_out(spark):
     rows = queries.op7_toxicity(spark, "/root/testdata/sf0.01").collect()
     y = truth(spark, "toxic")
@@ -289,6 +329,21 @@ def test_passages_cover_whole_texts():
     assert n.tolist() == [1, 1, 3] and counts.sum(axis=1).astype(int).tolist() == [0, 6, 512, 512, 376]
 
 
+def test_scores_equal_a_plain_forward_pass():
+    good = ["A plain sentence about a garden, with stops and commas. " * 12, "Another fine text. " * 40] * 6
+    poor = ["!!! $$$ ### click 123 HERE ||| " * 12, "x" * 700] * 6
+    model = quality.fit([*good, *poor], np.array([1.0] * 12 + [0.0] * 12), epochs=40)
+    p = model.params
+    for text in (good[0], poor[0], "", "short"):
+        x, n = model.inputs([text])
+        hidden = [np.tanh(row @ p["E"] + p["e"]) for row in x]
+        raw = np.array([float((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"]) for h in hidden])
+        weight = np.exp(raw - raw.max()) / np.exp(raw - raw.max()).sum()
+        z = sum(w * h for w, h in zip(weight, hidden, strict=True)) @ p["c"] + p["b"][0]
+        assert len(x) == n[0] == max(1, -(-len(text) // model.chars))
+        assert math.isclose(model.scores([text])[0], 1 / (1 + math.exp(-z)), rel_tol=1e-4)
+
+
 def test_attention_weights_sum_to_one(spark):
     good, poor = ["The sea was calm. " * 60, "All is well here, and more. " * 40], ["BUY NOW!! " * 50, "x*** y$$$ z### " * 60]
     model = quality.fit((good + poor) * 20, np.array([1.0, 1, 0, 0] * 20), epochs=60)
@@ -300,23 +355,18 @@ def test_attention_weights_sum_to_one(spark):
     assert quality.score(df.limit(0), quality.fit([], np.array([]))).count() == 0
 
 
-def test_mixing_meets_targets(spark):
-    rows, mixture = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), mixing.fit_domains(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), queries.domain_of_labels()), queries.MIX_WEIGHTS)
+def test_mixing_meets_every_target(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    rows, mixture = mixing.mix(docs, mixing.fit_domains(docs, labels, queries.domain_of_labels()), queries.MIX_WEIGHTS)
     got = rows.collect()
-    assert len(got) == 1000 and all(0 <= r.rate <= 1 + 1e-9 and r.copies in (0, 1) for r in got)
-    p, t = np.array([r.posteriors for r in got]), np.array([float(r.tokens) for r in got])
-    supply = t @ p
+    assert len(got) == 1000 and all(r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in got)
+    p, t, rates = np.array([r.posteriors for r in got]), np.array([float(r.tokens) for r in got]), np.array([r.rate for r in got])
+    total = (t * rates) @ p
     goal = np.array(list(mixture.targets.values()))
     assert np.allclose(goal / goal.sum(), list(queries.MIX_WEIGHTS.values()))
-    best = np.ones(len(got))
-    for _ in range(5000):
-        best = np.clip(best - p @ (((t * best) @ p - goal) / supply), 0, 1)
-
-    def miss(rates):
-        return ((((t * rates) @ p - goal) ** 2) / supply).sum() / goal.sum()
-
-    assert miss(np.array([r.rate for r in got])) <= miss(best) + 3e-4
-    assert miss(best) < 0.1 * miss(np.ones(len(got)))
+    assert np.abs(total - goal).max() <= 2e-3 * goal.min() and np.allclose(total, list(mixture.totals.values()))
+    copies = np.array([r.copies for r in got])
+    assert abs((t * copies).sum() / goal.sum() - 1) < 0.05
 
 
 def members_of(spark, shares, n=4000, seed=6):
@@ -331,7 +381,7 @@ def members_of(spark, shares, n=4000, seed=6):
 @pytest.mark.parametrize("shares", [(0.97, 0.02, 0.01), (0.985, 0.01, 0.005), (0.8, 0.12, 0.08), (0.95, 0.049, 0.001)])
 def test_mixing_keeps_clean_documents(spark, shares):
     df, p, model = members_of(spark, shares)
-    mixture = mixing.fit_rates(df, model, queries.MIX_WEIGHTS)
+    mixture = mixing.fit_rates(df, model, queries.MIX_WEIGHTS, thin=True)
     assert mixture.rates(p)[p[:, 0] > 0.9].mean() > 0.995
     assert mixture.totals["clean"] > 0.99 * mixture.targets["clean"]
 
@@ -342,7 +392,7 @@ def test_mixing_ends_at_the_optimum(spark, shares):
     t = np.array([float(x.tokens) for x in df.collect()])
     supply, want = t @ p, np.array(list(queries.MIX_WEIGHTS.values()))
     budget = 0.6 * float(supply[0] / want[0])
-    mixture = mixing.fit_rates(df, model, queries.MIX_WEIGHTS, budget)
+    mixture = mixing.fit_rates(df, model, queries.MIX_WEIGHTS, budget, thin=True)
     goal = np.minimum(budget * want, supply)
     r = mixture.rates(p)
     z = p @ (((t * r) @ p - goal) / supply)
@@ -351,11 +401,30 @@ def test_mixing_ends_at_the_optimum(spark, shares):
     assert "noisy" in mixture.report()
 
 
+@pytest.mark.parametrize("shares", [(0.97, 0.02, 0.01), (0.985, 0.01, 0.005), (0.8, 0.12, 0.08), (0.95, 0.049, 0.001)])
+def test_mixing_without_thinning_meets_targets_and_keeps_clean_documents(spark, shares):
+    df, p, model = members_of(spark, shares)
+    mixture = mixing.fit_rates(df, model, queries.MIX_WEIGHTS)
+    goal = np.array(list(mixture.targets.values()))
+    assert np.abs(np.array(list(mixture.totals.values())) - goal).max() <= 2e-3 * goal.min()
+    assert mixture.rates(p)[p[:, 0] > 0.9].mean() > 0.97
+
+
+def test_mixing_repeats_rows_of_scarce_domains(spark):
+    rows = [(i, "plain words here now") for i in range(400)] + [(i, "bad nasty insult here") for i in range(400, 404)] + [(400, "plain words here now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "a" if i < 400 else "b") for i in range(404)], "doc_id long, d string")
+    model = mixing.fit_domains(docs.filter("doc_id <> 400 or text like 'bad%'"), labels, F.col("d"))
+    out = mixing.mixed_rows(docs, model, {"a": 0.9, "b": 0.1})
+    bad = out.filter("text like 'bad%'").count()
+    assert out.columns == docs.columns and 30 <= bad <= 60 and out.filter("text like 'plain%'").count() > 380
+
+
 def test_mixing_edges(spark):
     df = odd_docs(spark)
     labels = spark.createDataFrame([(3, "a"), (9, "b"), (None, "a")], "doc_id long, d string")
     model = mixing.fit_domains(df, labels, F.col("d"))
-    rows, _ = mixing.mix(df, model, {"a": 0.5, "b": 0.5}, thin=False)
+    rows, _ = mixing.mix(df, model, {"a": 0.5, "b": 0.5})
     assert rows.count() == df.count()
     empty, mixture = mixing.mix(df.limit(0), model, {"a": 1.0})
     assert empty.count() == 0 and mixture.steps == []
@@ -424,6 +493,8 @@ def test_pipeline_on_odd_rows(spark):
     import corpus_pipeline as pipeline
 
     docs = odd_docs(spark).withColumn("_key", F.lit(1)).withColumn("fp", F.lit("x"))
+    for _, step in pipeline.STAGES:
+        assert step(spark, docs.limit(0), SF).count() == 0
     for _, step in pipeline.STAGES[:-1]:
         docs = queries_stage(step(spark, docs, SF))
         assert docs.columns == ["doc_id", "text", "lang", "score", "_key", "fp"]
