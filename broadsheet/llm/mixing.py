@@ -235,14 +235,14 @@ def mix(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col:
     return rated.select(id_col, "tokens", "posteriors", best.alias("domain"), "rate", copies.cast("int").alias("copies")), mixture
 
 
-def mixed_rows(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs as often as the mixture's rates ask for, with all their columns.
+def mixed_rows(docs: DataFrame, model: DomainModel, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", thin: bool = False) -> DataFrame:
+    """The rows of docs as often as the mixture's rates ask for, with all their columns; with thin, each at most once.
 
     Texts are classified once; the decisions are joined by a key of rows, so each row is drawn by its own rate.
     """
     keyed = with_row_key(docs)
     at = F.struct(keyed[id_col].alias("id"), keyed[ROW_KEY].alias("key"))
-    rows, _ = mix(keyed.select(at.alias("at"), keyed[text_col].cast("string").alias("text")), model, weights, "at", "text", draw_by=F.col("at.id"))
+    rows, _ = mix(keyed.select(at.alias("at"), keyed[text_col].cast("string").alias("text")), model, weights, "at", "text", thin=thin, draw_by=F.col("at.id"))
     kept = stage(rows.filter("copies > 0").select(F.col("at.key").alias(ROW_KEY), "copies"), "mixture")
     again = F.explode(F.array_repeat(F.lit(1), F.col(COPIES))).alias(COPIES)
     names = [F.col(f"`{c}`") for c in docs.columns]
