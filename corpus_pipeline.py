@@ -26,9 +26,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents thinned to the target weights of the domains."""
+    """Documents thinned towards the target weights of the domains: none is repeated after the copies have gone, and clean
+    documents stay, where rates without a bound would meet the targets by dropping some and repeating others."""
     model = mixing.fit_domains(docs, table(spark, sf_dir, "labels"), domain_of_labels())
-    return mixing.mixed_rows(docs, model, MIX_WEIGHTS)
+    return mixing.mixed_rows(docs, model, MIX_WEIGHTS, thin=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
