@@ -169,9 +169,11 @@ SIMILAR_SHINGLE, SIMILARITY = 5, 0.8
 PARTS, PART = 24, 4
 #: Candidates differ in at most so many bits of two fingerprints: at similarity 0.8 it is 19.4 of 128 on average, with a
 #: deviation of 4.1. Pairs nearer than NEAR are linked first where many texts share a part.
-FAR, NEAR = 38, 20
-#: Longer runs are first linked along a chain; only pairs that it leaves apart are then compared.
-SHORT = 24
+FAR, NEAR = 36, 20
+#: Longer runs are first linked along a chain; only what it leaves apart is then compared, in blocks of so many sets.
+SHORT, SET_BLOCK = 24, 512
+#: Shingles of the sets that blocks hold; pairs with larger ones are verified one by one. Shingles that are counted together.
+BLOCK_SHINGLES, COUNTED = 10_000, 4096
 #: Bytes that one Arrow batch holds where sets of shingles are in it, and shingles that are counted at once.
 SET_BYTES, AT_ONCE = 1 << 20, 8192
 _DRAW = np.random.default_rng(42)
@@ -278,7 +280,7 @@ def candidates(rows: DataFrame, all_pairs: bool) -> DataFrame:
                 i = i[_apart([c[i] for c in cols], [c[i + d] for c in cols]) <= FAR]
                 a_all.append(cols[0][i])
                 b_all.append(cols[0][i + d])
-        for r in np.flatnonzero(sizes > SHORT):
+        for r in range(len(sizes)) if all_pairs else np.flatnonzero(sizes > SHORT):
             part = [c[starts[r] : starts[r] + sizes[r]] for c in cols]
             a, b = _across(part, part, True, all_pairs)
             a_all.append(a)
@@ -294,6 +296,81 @@ def candidates(rows: DataFrame, all_pairs: bool) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of x has in common with each set of y, COUNTED hashes at a time."""
+    out = np.zeros((len(x), len(y)), np.float32)
+    words = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)), assume_unique=True)
+
+    def entries(sets):
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.searchsorted(words, flat)
+        held = np.flatnonzero(words[np.minimum(at, len(words) - 1)] == flat)
+        held = held[np.argsort(at[held], kind="stable")]
+        return at[held], row[held]
+
+    if len(words):
+        sides = [entries(x), entries(y)] if x is not y else [entries(x)]
+        for lo in range(0, len(words), COUNTED):
+            hot = []
+            for (at, row), sets in zip(sides, (x, y), strict=False):
+                a, b = np.searchsorted(at, [lo, lo + COUNTED])
+                h = np.zeros((len(sets), min(COUNTED, len(words) - lo)), np.float32)
+                h[row[a:b], at[a:b] - lo] = 1
+                hot.append(h)
+            out += hot[0] @ hot[-1].T
+    return out
+
+
+def block_links(rows: DataFrame, block: int) -> DataFrame:
+    """Links (a, b) that connect all sets of at least SIMILARITY in runs of equal t and k, verified block by block.
+
+    rows: t, k, node, n, s0, s1, component, hashes. Pairs of one component are not compared. A block gives a forest, so what
+    leaves it grows with its members and not with its pairs.
+    """
+
+    def load(t: pa.Table, at: int):
+        return [t.column(i).to_numpy() for i in range(at, at + 5)], t.column(at + 5)
+
+    def take(side, rows):
+        cols, sets = side
+        return cols[0][rows], cols[1][rows], [np.frombuffer(sets[int(i)].as_py(), "<u8") for i in rows]
+
+    def compare(x, y):
+        far = _apart([c[:, None] for c in x[0]], [c[None, :] for c in y[0]])
+        open_ = (far <= FAR) & (x[0][4][:, None] != y[0][4][None, :])
+        i, j = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+        if not len(i):
+            return None
+        nx, cx, sx = take(x, i)
+        ny, cy, sy = (nx, cx, sx) if x is y else take(y, j)
+        both = shared_counts(sx, sy)
+        near = open_[np.ix_(i, j)] & (both >= SIMILARITY * (cx[:, None] + cy[None, :] - both))
+        if not near.any():
+            return None
+        if x is y:
+            return nx[forest(near | near.T)], nx
+        n, ids = len(nx), np.concatenate([nx, ny])
+        whole = np.zeros((len(ids), len(ids)), bool)
+        whole[:n, n:], whole[n:, :n] = near, near.T
+        return ids[forest(whole)], ids
+
+    def small(t: pa.Table, starts: np.ndarray):
+        found = []
+        for s, e in zip(starts, np.append(starts[1:], t.num_rows), strict=True):
+            if e - s > 1:
+                x = load(t.slice(s, e - s), 2)
+                got = compare(x, x)
+                if got is not None:
+                    found.append(got)
+        return [np.concatenate(c) for c in zip(*found, strict=True)] if found else None
+
+    def pair(left: pa.Table, right: pa.Table, width: int):
+        x = load(left, width + 3)
+        return compare(x, x if left is right else load(right, width + 3))
+
+    return in_buckets(rows, ["t", "k"], "a bigint, b bigint", small, pair, block).filter("a <> b").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets (fp, hashes) have a Jaccard similarity of at least SIMILARITY."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
@@ -334,9 +411,17 @@ def set_links(found: DataFrame) -> DataFrame:
         return one
     known = components(one).withColumnRenamed("component", "_c")
     again = rows.join(big, ["t", "k"], "left_semi").join(known, "node", "left")
-    again = again.select("t", "k", "node", "n", "s0", "s1", F.coalesce("_c", "node").alias("component"))
-    more = stage(candidates(again, True), "candidates")
-    return one if more.isEmpty() else one.unionByName(stage(verified(more, sets), "links"))
+    again = stage(again.select("t", "k", "node", "n", "s0", "s1", F.coalesce("_c", "node").alias("component")), "long-run-rows")
+    # runs of one component hold nothing new
+    split = again.groupBy("t", "k").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low <> _high").select("t", "k")
+    again = again.join(split, ["t", "k"], "left_semi")
+    out = one
+    blocked = again.filter(F.col("n") <= BLOCK_SHINGLES)
+    held = sets.join(blocked.select(F.col("node").alias("fp")).distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes"))
+    blocked = blocked.join(held.withColumnRenamed("fp", "node"), "node").select(*blocked.columns, "hashes")
+    out = out.unionByName(stage(block_links(blocked, SET_BLOCK), "links"))
+    wide = stage(candidates(again.filter(F.col("n") >= SIMILARITY * BLOCK_SHINGLES), True), "candidates")
+    return out if wide.isEmpty() else out.unionByName(stage(verified(wide.select("a", "b"), sets), "links"))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

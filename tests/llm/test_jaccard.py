@@ -45,11 +45,15 @@ def test_pipeline_stage_drops_copies_of_similarity_0_8(spark):
 @pytest.mark.parametrize("block", [1024, 32])
 def test_components_equal_brute_force_in_long_runs(spark, monkeypatch, block):
     monkeypatch.setattr(graph.in_buckets, "__defaults__", (block,))
+    monkeypatch.setattr(simhash, "SET_BLOCK", block)
+    if block < 100:  # both ways of verifying, each for a part of the sets
+        monkeypatch.setattr(simhash, "BLOCK_SHINGLES", 180)
+        monkeypatch.setattr(simhash, "COUNTED", 100)
     r = random.Random(block)
     texts = [None, "", " \t", "One", "one", "a b c", "A b  c"]
-    for copies in (90, 40, 3):
-        base = [r.choice(WORDS) for _ in range(200)]
-        texts += [edited(r, base, r.choice([0, 2, 4, 9])) for _ in range(copies)]
+    for copies, words in ((90, 200), (40, 190), (30, 150), (3, 200)):
+        base = [r.choice(WORDS) for _ in range(words)]
+        texts += [edited(r, base, r.choice([0, 2, 4, 9, 14])) for _ in range(copies)]
     r.shuffle(texts)
     want = brute_components([shingles(t) for t in texts], alike)
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, fp string")
@@ -77,3 +81,10 @@ def test_parts_of_equal_sets_are_equal_and_short_sets_have_all(spark):
     long = simhash.shingle_set(" ".join(f"w{i}" for i in range(30000)))
     counts = ((long[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).sum(axis=0)
     assert int(simhash.majority(long)) == sum(1 << i for i, c in enumerate(counts) if 2 * c > len(long))
+
+
+def test_shared_counts_equal_intersections():
+    r = np.random.default_rng(3)
+    x, y = ([np.unique(r.integers(0, 300, k).astype(np.uint64)) for k in r.integers(1, 90, 20)] for _ in range(2))
+    for p, q in ((x, y), (x, x), (x[:1], [np.array([10**6], np.uint64)])):
+        assert simhash.shared_counts(p, q).tolist() == [[len(np.intersect1d(a, b)) for b in q] for a in p]
