@@ -64,8 +64,8 @@ def test_urls(spark):
     r = one(spark, urls.normal_url(F.lit(raw)).alias("n"), urls.normal_url(F.lit(" no url ")).alias("x"), urls.category(F.lit("https://a/rss/ekonomi.xml")).alias("c"), urls.role(F.lit("https://a/rss/ekonomi.xml")).alias("r"), urls.role(F.lit("https://a/rss")).alias("g"), urls.role(F.lit("https://a/")).alias("h"))
     assert r.n == "https://example.com/path/article?a=1&b=2" and r.x == "no url"
     assert (r.c, r.r, r.g, r.h) == ("economy_finance", "category", "general_discovery", "general_discovery")
-    df = spark.createDataFrame([(raw,), ("http://h/?q=a%20b&z=%C3%A9",), (None,), ("x",)], "u string").select(urls.normal_url_encoded("u").alias("n"))
-    assert [x.n for x in df.collect()] == ["https://example.com/path/article?a=1&b=2", "http://h/?q=a+b&z=%C3%A9", "", "x"]
+    df = spark.createDataFrame([(raw,), ("http://h/?q=a%20b&z=%C3%A9",), (None,), ("x",), ("http://h/p//?b=~*&b=%7e&&a+c=1%zz&k",), ("http://h?#f",)], "u string").select(urls.normal_url(F.col("u")).alias("n"))
+    assert [x.n for x in df.collect()] == ["https://example.com/path/article?a=1&b=2", "http://h/?q=a+b&z=%C3%A9", "", "x", "http://h/p?a+c=1%25zz&b=~&b=~%2A&k=", "http://h/"]
 
 
 def test_text(spark):
