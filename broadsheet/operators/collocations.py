@@ -27,13 +27,19 @@ def sentences(articles: DataFrame) -> DataFrame:
 def token_windows(articles: DataFrame, window: int = WINDOW, least: int = LEAST_LETTERS, mention: str = MENTION) -> DataFrame:
     """One row for each word within `window` words of a mention in its sentence: country, day, canonical, lemma.
 
-    Slices of the sentence's array of words: no self-join, and nothing is shuffled. Short words use up places.
+    Mentions are found, and their neighbours sliced, inside the sentence's array, so what is exploded grows with mentions
+    and not with the square of the sentence; no self-join, and nothing is shuffled. Short words use up places.
     """
-    at = sentences(articles).select("id", *DAY, "words", F.posexplode("words").alias("p", "canonical")).filter(F.col("canonical").rlike(mention))
-    left = F.slice("words", F.greatest(F.col("p") + 1 - window, F.lit(1)), F.least(F.col("p"), F.lit(window)))
-    right = F.slice("words", F.col("p") + 2, F.lit(window))
-    near = F.filter(F.concat(left, right), lambda w: F.length(w) >= least)
-    return at.select("id", *DAY, "canonical", F.explode(near).alias("word")).select("id", *DAY, "canonical", F.lower("word").alias("lemma"))
+
+    def near(word, at):
+        left = F.slice("words", F.greatest(at + 1 - window, F.lit(1)), F.least(at, F.lit(window)))
+        right = F.slice("words", at + 2, F.lit(window))
+        lemmas = F.transform(F.filter(F.concat(left, right), lambda w: F.length(w) >= least), F.lower)
+        return F.when(word.rlike(mention), F.struct(word.alias("canonical"), lemmas.alias("lemmas")))
+
+    found = F.filter(F.transform("words", near), lambda x: x.isNotNull())
+    rows = sentences(articles).select("id", *DAY, F.explode(found).alias("m"))
+    return rows.select("id", *DAY, "m.canonical", F.explode("m.lemmas").alias("lemma"))
 
 
 def daily_counts(pairs: DataFrame, least: int = LEAST_COUNT, stopwords: DataFrame | None = None) -> DataFrame:

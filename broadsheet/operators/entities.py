@@ -71,22 +71,27 @@ def snippets(candidates: DataFrame, lemmas: list[str], most: int = 8) -> DataFra
     return candidates.withColumn("matched", matched).withColumn("coverage", F.size("matched")).orderBy(F.col("coverage").desc(), F.col("rank").desc(), "id").limit(most)
 
 
-def canonicalize(mentions: DataFrame, aliases: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+def typed(mentions: DataFrame, aliases: DataFrame, default: str = "PER") -> DataFrame:
+    """mentions with the entity_type that the country's aliases give their name, the first by order, or else the default."""
+    known = aliases.groupBy("country_code", normal_names("alias").alias("_key")).agg(F.min_by("entity_type", "ordinal").alias("_type"))
+    out = mentions.withColumn("_key", normal_names("entity_text")).join(known, ["country_code", "_key"], "left")
+    return out.withColumn("entity_type", F.coalesce("_type", F.lit(default))).drop("_key", "_type")
+
+
+def canonicalize(mentions: DataFrame, aliases: DataFrame, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Canonical name, id, confidence and method of each mention.
 
     aliases: country_code, entity_type, alias, canonical, wikidata_qid, ordinal; a later alias of a key takes its place.
-    Looked up by type, then as PER, then as ORG. Without an alias the display form counts, with confidence 0.
-    The aliases are broadcast only after a count of them; a larger table is joined by shuffle.
+    Looked up by type, then as PER, then as ORG, in one table with a map by type for each country and name. Without an alias
+    the display form counts, with confidence 0. The table is broadcast if its bytes, which are summed first, are few.
     """
     keyed = aliases.withColumn("key", normal_names("alias")).filter("key <> ''")
-    keyed = keyed.groupBy("country_code", "entity_type", "key").agg(F.max_by(F.struct("canonical", "wikidata_qid"), "ordinal").alias("a"))
-    small = keyed.limit(broadcast_rows + 1).count() <= broadcast_rows
-    hint = F.broadcast if small else (lambda df: df)
-    out = mentions.withColumn("key", normal_names("entity_text"))
-    for name, kind in (("own", F.upper("entity_type")), ("per", F.lit("PER")), ("org", F.lit("ORG"))):
-        side = hint(keyed.select(F.col("country_code").alias("_c"), F.col("entity_type").alias("_t"), F.col("key").alias("_k"), F.col("a").alias(name)))
-        out = out.join(side, (F.col("country_code") == F.col("_c")) & (kind == F.col("_t")) & (F.col("key") == F.col("_k")), "left").drop("_c", "_t", "_k")
-    hit = F.coalesce("own", "per", "org")
+    keyed = keyed.groupBy("country_code", "key", "entity_type").agg(F.max_by(F.struct("canonical", "wikidata_qid"), "ordinal").alias("a"))
+    lookup = keyed.groupBy("country_code", "key").agg(F.map_from_entries(F.collect_list(F.struct("entity_type", "a"))).alias("by_type"))
+    size = keyed.agg(F.sum(100 + F.octet_length("key") + F.octet_length(F.to_json("a")))).first()[0] or 0
+    side = F.broadcast(lookup) if size <= broadcast_bytes else lookup
+    out = mentions.withColumn("key", normal_names("entity_text")).join(side, ["country_code", "key"], "left")
+    hit = F.coalesce(*[F.try_element_at("by_type", k) for k in (F.upper("entity_type"), F.lit("PER"), F.lit("ORG"))])
     return out.select(
         *[c for c in mentions.columns if c not in ("canonical", "wikidata_qid", "resolver_method")],
         F.coalesce(hit["canonical"], display_name(F.col("entity_text"))).alias("canonical"),

@@ -12,8 +12,11 @@ GERMAN_ARTICLES = ("der", "die", "das", "den", "dem", "des")
 
 
 def terms(docs: DataFrame) -> DataFrame:
-    """(doc_id, cluster, term, tf): words of two and more characters and pairs of neighbouring ones."""
-    words = docs.select("doc_id", "cluster", F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("w"))
+    """(doc_id, cluster, term, tf): words of two and more characters and pairs of neighbouring ones.
+
+    Documents are dealt by id while they are still whole, so neither the counts of their terms nor their norms shuffle again.
+    """
+    words = docs.select("doc_id", "cluster", "text").repartition("doc_id").select("doc_id", "cluster", F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("w"))
     pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
     out = words.select("doc_id", "cluster", F.explode(F.concat("w", pairs)).alias("term"))
     return out.groupBy("doc_id", "cluster", "term").agg(F.count(F.lit(1)).alias("tf"))

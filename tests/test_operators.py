@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.operators import clustering, collocations, entities, evaluation, explain, keywords, news, preprocess
+from broadsheet.operators import clustering, collocations, entities, evaluation, explain, keywords, news, preprocess, requests
 
 DAY = date(2024, 1, 5)
 
@@ -141,3 +141,17 @@ def test_scoring_provider(spark):
     got = {r.id: r for r in preprocess.scored(df, F.col("text"), target=F.col("id") < 3).collect()}
     assert (got[1].sentiment_label, got[2].sentiment_label, got[3].sentiment_label) == ("positive", "negative", None)
     assert got[1].calibrated_sentiment_score < got[1].raw_sentiment_score
+
+
+def test_a_sentence_of_forty_thousand_words(spark):
+    words = " ".join("Berlin" if i % 10 == 0 else f"word{i % 50}" for i in range(40_000))
+    df = spark.createDataFrame([(i, "DE", words) for i in range(4)], "id long, country_code string, text string").withColumn("collected_date", F.lit("2024-01-01").cast("date"))
+    pairs = collocations.token_windows(df)
+    assert pairs.count() == 4 * sum(min(i, 10) + min(39_999 - i, 10) for i in range(0, 40_000, 10))
+
+
+def test_requests():
+    assert requests.checked_countries(" de,FR, de", {"DE", "FR"}) == ["DE", "FR"]
+    for bad in (lambda: requests.checked_countries("xx", {"DE"}), lambda: requests.checked_countries("", {"DE"}), lambda: requests.checked_window(8)):
+        with pytest.raises(ValueError):
+            bad()
