@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from broadsheet.functions.vectors import dot
+
 MIN_SIZE = 8
 
 
@@ -104,6 +105,37 @@ def titles(keywords: DataFrame, entities: DataFrame) -> DataFrame:
     return both.select("cluster_id", F.when(F.col("name").isNotNull() & (F.lower("name") != F.lower(lead)), F.concat(lead, F.lit(" · "), F.col("name"))).otherwise(lead).alias("title"))
 
 
-def batches_of(items: list, size: int) -> Iterator[list]:
-    for at in range(0, len(items), size):
-        yield items[at : at + size]
+def silhouette_rows(vectors: DataFrame, cluster_col: str = "cluster_id", vector_col: str = "embedding") -> DataFrame:
+    """vectors with their cosine silhouette, from the sum of unit vectors of each cluster: the mean over a cluster's pairs.
+
+    Null and zero vectors go, noise (a negative cluster) too; one of its kind has 0. The sums are one row a cluster.
+    """
+    v = F.col(vector_col).cast("array<double>")
+    rows = vectors.filter(F.col(cluster_col) >= 0).withColumn("_n", F.sqrt(dot(v, v))).filter("_n > 0").withColumn("_u", F.transform(v, lambda x: x / F.col("_n"))).drop("_n")
+    total = rows.groupBy(cluster_col).agg(Summarizer.sum(array_to_vector("_u")).alias("s"), F.count(F.lit(1)).alias("n"))
+    known = total.agg(F.collect_list(F.struct(F.col(cluster_col).alias("c"), vector_to_array("s").alias("s"), "n")).alias("_all"))
+    own, u = F.col(cluster_col), F.col("_u")
+    out = rows.join(F.broadcast(known))  # one row
+    near = F.filter("_all", lambda x: x["c"] == own)[0]
+    within = F.try_divide(near["n"] - dot(u, near["s"]), near["n"] - 1)
+    others = F.transform(F.filter("_all", lambda x: x["c"] != own), lambda x: 1 - dot(u, x["s"]) / x["n"])
+    between = F.array_min(others)
+    value = F.when((near["n"] == 1) | between.isNull(), 0.0).otherwise(F.coalesce(F.try_divide(between - within, F.greatest(within, between)), F.lit(0.0)))
+    return out.withColumn("silhouette", value).drop("_u", "_all")
+
+
+def largest(rows: DataFrame, within: list[str], k: int, **also) -> DataFrame:
+    """The k largest clusters of each slice with their sizes and the aggregates named; ties by number."""
+    sums = rows.groupBy(*within, "cluster_id").agg(F.count(F.lit(1)).alias("size"), *[c.alias(n) for n, c in also.items()])
+    w = Window.partitionBy(*within).orderBy(F.col("size").desc(), "cluster_id")
+    return sums.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def run_metrics(rows: DataFrame, within: list[str], most: float = 0.25, noise: float = 0.4) -> DataFrame:
+    """Per slice: clusters, size of the largest, share of noise, and whether one exceeds its bound."""
+    sizes = rows.groupBy(*within, "cluster_id").agg(F.count(F.lit(1)).alias("n"))
+    real = F.when(F.col("cluster_id") >= 0, F.col("n"))
+    out = sizes.groupBy(*within).agg(F.count(real).alias("clusters"), F.max(real).alias("largest"), F.sum("n").alias("_all"), F.coalesce(F.sum(F.when(F.col("cluster_id") < 0, F.col("n"))), F.lit(0)).alias("_noise"))
+    share = F.round(F.col("_noise") / F.col("_all"), 6)
+    warn = F.coalesce(F.col("largest") / F.col("_all") > most, F.lit(False)) | (share > noise)
+    return out.select(*within, "clusters", "largest", share.alias("noise"), warn.alias("warn"))

@@ -39,6 +39,11 @@ def detected_language(text: Column) -> Column:
     return F.when(best["n"] > 0, best["k"])
 
 
+def shuffled(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """Rows in an order that the seed and the key fix, whatever the partitions."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key)
+
+
 def preprocess(items: DataFrame, language: str, run_at: str, keep_short: bool = False) -> DataFrame:
     """Items with cleaned, lower-case title and summary, their length before lowering, date and language flag.
 

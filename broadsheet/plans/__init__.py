@@ -1,4 +1,12 @@
 """The library's queries over the driver's tables."""
 
-from broadsheet.plans import inventory_queries, more_queries, news_queries, text_queries  # noqa: F401
+from broadsheet.plans import (  # noqa: F401
+    interface_queries,
+    inventory_queries,
+    more_queries,
+    news_queries,
+    source_queries,
+    text_queries,
+    write_queries,
+)
 from broadsheet.plans.registry import ORACLES, QUERIES  # noqa: F401

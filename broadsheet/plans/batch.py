@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.text import analysis_text
 from broadsheet.operators import collocations, entities, news, preprocess
+from broadsheet.sources.pages import fetched_articles
 from broadsheet.sources.store import SliceStore, insert_ignore
 
 log = logging.getLogger(__name__)
@@ -18,7 +19,8 @@ log = logging.getLogger(__name__)
 SCHEMAS = {
     "news_raw": "id long, title string, summary string, source_name string, published_date string, link string, category string, country_code string, collected_date date",
     "news_scored": "id long, source_name string, link string, category string, title string, summary string, cleaned_title string, cleaned_summary string, char_count int, is_target_language boolean, sentiment_label string, raw_sentiment_score double, calibrated_sentiment_score double, country_code string, collected_date date",
-    "mentions": "article_id long, entity_text string, position int, canonical string, wikidata_qid string, confidence double, resolver_method string, country_code string, collected_date date",
+    "news_articles": "id long, article_text string, parse_status string, page_chars long, country_code string, collected_date date",
+    "mentions": "article_id long, entity_text string, entity_type string, position int, canonical string, wikidata_qid string, confidence double, resolver_method string, country_code string, collected_date date",
     "collocations": "canonical string, lemma string, c11 long, r long, t long, n long, pmi double, llr double, country_code string, collected_date date",
     "drift": "status string, psi double, severity string, baseline_days long, today_total long, delta_negative double, delta_neutral double, delta_positive double, country_code string, collected_date date",
 }
@@ -26,7 +28,11 @@ SCHEMAS = {
 
 @dataclass
 class DailyJob:
-    """Tables under `root`; steps named in `soft` may fail without stopping the rest. done: step -> 'ok' or the error."""
+    """Tables under `root`; steps named in `soft` may fail without stopping the rest. done: step -> 'ok' or the error.
+
+    pages (page_id, url, html) are what a crawler has landed; articles are joined with them by normal URL, and their bodies
+    are read beside titles and summaries.
+    """
 
     spark: SparkSession
     root: str
@@ -34,7 +40,8 @@ class DailyJob:
     language: str
     aliases: DataFrame | None = None
     scorer: preprocess.Scorer = preprocess.lexicon_scores
-    soft: tuple[str, ...] = ("mentions", "collocations", "drift")
+    pages: DataFrame | None = None
+    soft: tuple[str, ...] = ("news_articles", "mentions", "collocations", "drift")
     done: dict[str, str] = field(default_factory=dict)
 
     def store(self, name: str) -> SliceStore:
@@ -62,6 +69,7 @@ class DailyJob:
     def run(self, items: DataFrame, day: str, run_at: str) -> dict[str, str]:
         """items: title, summary, source_name, published_date, link, category, id. A repeat with the same items changes nothing."""
         self._step("news_raw", lambda: self._collect(items, day))
+        self._step("news_articles", lambda: self._fetch(day))
         self._step("news_scored", lambda: self._score(day, run_at))
         self._step("mentions", lambda: self._mentions(day))
         self._step("collocations", lambda: self._collocations(day))
@@ -81,29 +89,42 @@ class DailyJob:
         link_free = kept.join(own.filter("link is not null").select("link"), "link", "left_anti").select(*cols).unionByName(kept.filter("link is null")).dropDuplicates(["id"])
         self._write("news_raw", own.select(*cols).unionByName(link_free), day)
 
+    def _fetch(self, day: str) -> None:
+        links = self.rows("news_raw", day).filter("link is not null").select("id", "link")
+        none = "page_id long, url string, html string"
+        landed = self.pages if self.pages is not None else self.spark.createDataFrame([], none)
+        self._write("news_articles", fetched_articles(links, landed), day)
+
+    def _with_body(self, df: DataFrame, day: str) -> DataFrame:
+        return df.join(self.rows("news_articles", day).select("id", F.col("article_text").alias("body")), "id", "left")
+
+    def _texts(self, day: str) -> DataFrame:
+        rows = self._with_body(self.rows("news_scored", day), day)
+        return rows.select("id", "country_code", "collected_date", analysis_text(F.col("title"), F.col("summary"), F.col("body"), 3000).alias("text"))
+
     def _score(self, day: str, run_at: str) -> None:
-        clean = preprocess.preprocess(self.rows("news_raw", day), self.language, run_at)
-        text = analysis_text(F.col("cleaned_title"), F.col("cleaned_summary"), F.lit(None), 800)
+        clean = self._with_body(preprocess.preprocess(self.rows("news_raw", day), self.language, run_at), day)
+        text = analysis_text(F.col("cleaned_title"), F.col("cleaned_summary"), F.col("body"), 800)
         self._write("news_scored", preprocess.scored(clean, text, self.scorer, F.col("is_target_language")), day)
 
     def _mentions(self, day: str) -> None:
-        texts = self.rows("news_scored", day).select("id", "country_code", analysis_text(F.col("title"), F.col("summary"), F.lit(None), 3000).alias("text"))
-        found = entities.default_mentions(texts).join(texts.select("id", "country_code"), "id").withColumn("entity_type", F.lit("PER"))
+        texts = self._texts(day)
         none = "country_code string, entity_type string, alias string, canonical string, wikidata_qid string, ordinal long"
         aliases = self.aliases if self.aliases is not None else self.spark.createDataFrame([], none)
+        found = entities.typed(entities.default_mentions(texts).join(texts.select("id", "country_code"), "id"), aliases)
         self._write("mentions", entities.canonicalize(found, aliases).withColumnRenamed("id", "article_id"), day)
 
     def _collocations(self, day: str) -> None:
-        texts = self.rows("news_scored", day).select("id", "country_code", "collected_date", analysis_text(F.col("title"), F.col("summary"), F.lit(None), 3000).alias("text"))
-        self._write("collocations", collocations.daily_association(collocations.daily_counts(collocations.token_windows(texts))), day)
+        self._write("collocations", collocations.daily_association(collocations.daily_counts(collocations.token_windows(self._texts(day)))), day)
 
     def _drift(self, day: str) -> None:
         past = self.rows("news_scored").filter(F.col("country_code") == self.country).filter(F.col("collected_date").between(F.date_sub(F.lit(day).cast("date"), 30), F.lit(day).cast("date")))
         self._write("drift", news.in_slice(news.drift(past), day, self.country), day)
 
     def backfill(self, items_of: Callable[[str], DataFrame], days: list[str], run_at: str) -> dict[str, str]:
-        """Days that have no slice yet; a failed day is noted and the rest go on."""
-        held = {str(r[0]) for r in self.rows("news_raw").filter(F.col("country_code") == self.country).select("collected_date").distinct().collect()}
+        """Days whose last step has no slice yet, so a day that failed on its way is done again; a failed day is noted and the
+        rest go on."""
+        held = {str(r[0]) for r in self.rows("drift").filter(F.col("country_code") == self.country).select("collected_date").distinct().collect()}
         out = {}
         for day in days:
             if day in held:

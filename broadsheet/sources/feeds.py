@@ -7,9 +7,11 @@ from email.utils import parsedate_to_datetime
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from broadsheet.functions.urls import normal_url
+
 ITEM = "title string, summary string, source_name string, published_date string, link string, category string"
 HEALTH = "source_name string, discovery_url string, parse_ok boolean, item_count int, unique_url_count int, latest_item_date string, error string"
 
@@ -116,6 +118,12 @@ def distinct_items(items_: DataFrame, order: str = "published_date") -> DataFram
     return keyed.unionByName(items_.filter(empty))
 
 
+def metadata_records(spark: SparkSession, path: str) -> DataFrame:
+    """Discovery records from lines of JSON, with normal URLs; records without one go."""
+    rows = spark.read.schema("url string, discovery_role string, canonical_category string, position int").json(path)
+    return rows.filter("coalesce(url, '') <> ''").withColumn("url", normal_url(F.col("url")))
+
+
 def best_metadata(records: DataFrame) -> DataFrame:
     """Per url the record that says most: category feeds before general ones, then a category other than 'other', then position.
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.text import WHITE_SPACE, clean
+from broadsheet.functions.urls import normal_url
 
 #: Fixed values of the article parser.
 NOISE = ("script", "style", "noscript", "svg", "iframe", "form", "header", "footer", "nav", "aside")
@@ -148,5 +149,31 @@ def parsed_articles(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     return pages.select(id_col, html_col).mapInArrow(run, f"`{id_col}` {kind}, {ARTICLE}")
 
 
+def _found(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """links (id, link) with the markup of the page that has the same normal URL, null where there is none; of several pages
+    the one of the largest id."""
+    held = pages.groupBy(normal_url(F.col("url")).alias("_url")).agg(F.max_by("html", "page_id").alias("html"), F.lit(True).alias("_there"))
+    return links.withColumn("_url", normal_url(F.col("link"))).join(held, "_url", "left").select("id", "html", "_there")
+
+
+def fetched_articles(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """One row a link: id, the page's length and its article; links without a page have the status fetch_error.
+
+    links: id, link. pages: page_id, url, html, which a crawler has landed.
+    """
+    got = _found(links, pages)
+    there = got.filter("_there").select("id", F.coalesce("html", F.lit("")).alias("html"))
+    parsed = parsed_articles(there, "id").join(there.select("id", F.length("html").cast("bigint").alias("page_chars")), "id")
+    names = [x.split()[0] for x in ARTICLE.split(", ")]
+    lost = got.filter("_there is null").select("id", *[F.lit("fetch_error" if n == "parse_status" else None).cast("string").alias(n) for n in names], F.lit(None).cast("bigint").alias("page_chars"))
+    return parsed.unionByName(lost)
+
+
+def scraped(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """id, title and summary of the listed links that have a page with a title; the rest is dropped."""
+    got = _found(links, pages).filter("_there")
+    return page_meta(got.select(F.col("id").alias("page_id"), F.lit("").alias("url"), F.coalesce("html", F.lit("")).alias("html"))).filter("coalesce(title, '') <> ''").withColumnRenamed("page_id", "id")
+
+
 def unescaped(text: str) -> str:
     return html.unescape(text)

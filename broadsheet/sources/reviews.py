@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.functions.scores import LABELS
@@ -58,6 +58,15 @@ def drift_markdown(row) -> str:
     return f"{head}\n\nPSI {row['psi']:.4f} ({row['severity']}) over {row['baseline_days']} days, {row['today_total']} articles.\n\n| label | change |\n|-|-|\n{deltas}"
 
 
+def drift_text() -> Column:
+    """The same words as drift_markdown, as a column over rows of news.drift()."""
+    head = F.format_string("### Drift %s %s: %s", "country_code", F.col("collected_date").cast("string"), "status")
+    few = F.format_string("%s\n\n%d baseline days are too few.", head, "baseline_days")
+    deltas = F.array_join(F.array(*[F.format_string(f"| {k} | %+.4f |", f"delta_{k}") for k in LABELS]), "\n")
+    full = F.format_string("%s\n\nPSI %.4f (%s) over %d days, %d articles.\n\n| label | change |\n|-|-|\n%s", head, "psi", "severity", "baseline_days", "today_total", deltas)
+    return F.when(F.col("status") == "ok", full).otherwise(few)
+
+
 def metrics(step: str, df: DataFrame, **values) -> DataFrame:
     """Metric rows (step, metric, value) from aggregate expressions over df."""
     found = df.agg(*[v.cast("double").alias(k) for k, v in values.items()])

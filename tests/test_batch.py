@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from broadsheet.operators import news
 from broadsheet.plans.batch import DailyJob
 from broadsheet.sources import reviews
+from broadsheet.sources.store import SliceStore
 
 
 def items(spark, *rows):
@@ -26,6 +27,38 @@ def test_a_day_runs_and_a_repeat_changes_nothing(spark, tmp_path):
     assert job.backfill(lambda d: items(spark, (20, "Backfilled story of the day", "x", None)), ["2024-01-05", "2024-01-07"], "2024-01-07 12:00:00") == {"2024-01-07": "ok"}
 
 
+def test_bodies_and_types_reach_the_later_steps(spark, tmp_path):
+    body = "<p>" + "Berlin said that the great win of the record team made Berlin proud again. " * 5 + "</p>"
+    landed = spark.createDataFrame([(1, "http://a/1#top", f"<html><body><article>{body}</article></body></html>")], "page_id long, url string, html string")
+    aliases = spark.createDataFrame([("UK", "LOC", "Berlin", "Berlin", "Q64", 0)], "country_code string, entity_type string, alias string, canonical string, wikidata_qid string, ordinal long")
+    job = DailyJob(spark, str(tmp_path), "UK", "en", aliases=aliases, pages=landed)
+    assert set(job.run(items(spark, (1, "A story of the day", "and more", "http://a/1?utm_source=x"), (2, "Another story here", "", "http://a/2")), "2024-01-05", "2024-01-05 12:00:00").values()) == {"ok"}
+    assert {r.id: r.parse_status for r in job.rows("news_articles").collect()} == {1: "parsed", 2: "fetch_error"}
+    assert job.rows("news_scored").filter("id = 1").first().sentiment_label == "positive"
+    assert {(r.entity_type, r.wikidata_qid) for r in job.rows("mentions").filter("canonical = 'Berlin'").collect()} == {("LOC", "Q64")}
+    assert job.rows("collocations").filter("canonical = 'Berlin' and lemma = 'said'").count() == 1
+
+
+def test_a_day_that_failed_on_its_way_is_done_again(spark, tmp_path):
+    job = DailyJob(spark, str(tmp_path), "UK", "en")
+    one = items(spark, (1, "A story of the day", "and more", None))
+    job._collect(one, "2024-01-05")  # and then the driver was lost
+    assert job.backfill(lambda d: one, ["2024-01-05"], "2024-01-06 12:00:00") == {"2024-01-05": "ok"}
+    assert job.rows("news_scored").count() == 1
+
+
+def test_a_slice_left_aside_is_put_back(spark, tmp_path):
+    held = SliceStore(spark, str(tmp_path / "t"))
+    rows = spark.createDataFrame([(1, "DE", "2024-01-05"), (2, "FR", "2024-01-05")], "id long, country_code string, collected_date string").withColumn("collected_date", F.to_date("collected_date"))
+    held.replace(rows, [{"country_code": c, "collected_date": "2024-01-05"} for c in ("DE", "FR")])
+    (tmp_path / "t/_aside/country_code=DE").mkdir(parents=True)
+    (tmp_path / "t/country_code=DE/collected_date=2024-01-05").rename(tmp_path / "t/_aside/country_code=DE/collected_date=2024-01-05")
+    kind = "id long, country_code string, collected_date date"
+    assert sorted(r.id for r in held.rows(kind).collect()) == [1, 2]
+    held.replace(rows.limit(0), [{"country_code": "DE", "collected_date": "2024-01-05"}])
+    assert [r.id for r in held.rows(kind).collect()] == [2]
+
+
 def test_reviews(spark, tmp_path):
     sample = spark.createDataFrame([(1, "positive", "negative", 'a "quoted", text'), (2, "positive", "", "x"), (3, "neutral", "neutral", "y")], "id int, predicted string, reviewed string, title string")
     reviews.write_reviews(sample, str(tmp_path / "csv"), ["id", "predicted", "reviewed", "title"])
