@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -19,6 +20,10 @@ ROWS_AT_ONCE, BYTES_AT_ONCE = 512, 8 << 20
 ROW_KEY = "__broadsheet_row_key"
 
 
+#: Tables staged inside calls of stage_only, innermost last.
+_OPEN: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,11 +46,36 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage and computes it once, and survives lost executors."""
     path = fresh_path(df.sparkSession, what)
     df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
 
 
+def stage_only(make: Callable[[], DataFrame], what: str) -> DataFrame:
+    """stage(make()); then delete every table that make() has staged on its way, and let go of their shuffles."""
+    _OPEN.append([])
+    try:
+        out = stage(make(), what)
+    finally:
+        paths = _OPEN.pop()
+    for path in paths:
+        if path != out._staged_path:
+            drop_path(out.sparkSession, path)
+    if _OPEN:
+        _OPEN[-1].append(out._staged_path)
+    release(out.sparkSession)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner find the shuffles that no plan needs any more; their files otherwise stay for long on a driver
+    with memory to spare."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unstage(df: DataFrame) -> None:
     """Delete the files of a staged table that no later plan reads."""
     path = getattr(df, "_staged_path", None)

@@ -21,6 +21,7 @@ from broadsheet.llm.common import (
     slices,
     small_batches,
     stage,
+    stage_only,
     unfold,
     unstage,
     with_row_key,
@@ -153,8 +154,7 @@ def drop_copies(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     """The rows of docs that stay, with all their columns: of equal texts, one row of the largest id, null ids last."""
     spark, keyed = docs.sparkSession, with_row_key(docs)
     own = index or DigestIndex(spark, id_type=docs.schema[id_col].dataType.simpleString())
-    found = own.deduplicate(keyed, id_col, text_col, keyed[ROW_KEY])
-    kept = stage(found.filter("kept").select(F.col("_also").alias(ROW_KEY)), "kept")
+    kept = stage_only(lambda: own.deduplicate(keyed, id_col, text_col, keyed[ROW_KEY]).filter("kept").select(F.col("_also").alias(ROW_KEY)), "kept")
     if index is None:
         own.close()
         drop_path(spark, own.path)

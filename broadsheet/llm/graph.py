@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import fold, salted, stage, unfold, unstage
+from broadsheet.llm.common import fold, release, salted, stage, unfold, unstage
 
 #: Members of a bucket that one task compares with one another at once; larger buckets are dealt out as pairs of blocks.
 BLOCK = 1024
@@ -42,6 +42,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         after = stage(small.select("e.x", "e.y").filter("x <> y").distinct(), "edges")
         unstage(now)
         now = after
+        release(edges.sparkSession)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import ROW_KEY, over_text, slices, stage, with_row_key
+from broadsheet.llm.common import ROW_KEY, over_text, slices, stage, stage_only, with_row_key
 from broadsheet.llm.features import HashedTerms, labelled_sample, passages, select_terms
 
 #: Bounds of the classifier: labelled rows for each domain, terms, and the least G of a term.
@@ -242,8 +242,13 @@ def mixed_rows(docs: DataFrame, model: DomainModel, weights: dict[str, float], i
     """
     keyed = with_row_key(docs)
     at = F.struct(keyed[id_col].alias("id"), keyed[ROW_KEY].alias("key"))
-    rows, _ = mix(keyed.select(at.alias("at"), keyed[text_col].cast("string").alias("text")), model, weights, "at", "text", thin=thin, draw_by=F.col("at.id"))
-    kept = stage(rows.filter("copies > 0").select(F.col("at.key").alias(ROW_KEY), "copies"), "mixture")
+    plain = keyed.select(at.alias("at"), keyed[text_col].cast("string").alias("text"))
+
+    def drawn():
+        rows, _ = mix(plain, model, weights, "at", "text", thin=thin, draw_by=F.col("at.id"))
+        return rows.filter("copies > 0").select(F.col("at.key").alias(ROW_KEY), "copies")
+
+    kept = stage_only(drawn, "mixture")
     again = F.explode(F.array_repeat(F.lit(1), F.col(COPIES))).alias(COPIES)
     names = [F.col(f"`{c}`") for c in docs.columns]
     return keyed.join(kept.withColumnRenamed("copies", COPIES).hint("shuffle_hash"), ROW_KEY).select(*names, again).drop(COPIES)

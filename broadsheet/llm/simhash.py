@@ -25,6 +25,7 @@ from broadsheet.llm.common import (
     slices,
     small_batches,
     stage,
+    stage_only,
     unfold,
     with_row_key,
 )
@@ -141,7 +142,7 @@ def grouped(rows: DataFrame, id_col: str, links_of) -> DataFrame:
     """rows (id, fp) with component_id; links_of gives links (a, b) between values of fp, from one row each."""
     rows = salted(rows, F.col(id_col))
     groups = stage(fold(rows, ["fp"], {"_low": F.min(id_col)}, {"_low": F.min("_low")}), "fp-groups")
-    linked = components(links_of(groups))
+    linked = stage_only(lambda: components(links_of(groups)), "fp-linked")
     labelled = groups.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
     labelled = stage(labelled.withColumn("component", F.coalesce("component", "fp")), "fp-components")
     members = salted(labelled.drop("_salts"), F.col("fp"))
@@ -405,23 +406,28 @@ def set_links(found: DataFrame) -> DataFrame:
     keys = [F.col("s0").bitwiseAND(F.lit(_signed(m))) for m in masks()] + [F.col(f"p{i}") for i in range(PARTS)]
     rows = nodes.select(F.posexplode(F.array(*keys)).alias("t", "k"), F.col("fp").alias("node"), "n", "s0", "s1")
     sets = found.select("fp", "hashes")
-    one = stage(verified(stage(candidates(rows.withColumn("component", F.col("node")), False), "candidates"), sets), "links")
+    first = rows.withColumn("component", F.col("node"))
+    one = stage_only(lambda: verified(stage(candidates(first, False), "candidates"), sets), "links")
     big = stage(rows.groupBy("t", "k").count().filter(F.col("count") > SHORT).select("t", "k"), "long-runs")
     if big.isEmpty():
         return one
-    known = components(one).withColumnRenamed("component", "_c")
-    again = rows.join(big, ["t", "k"], "left_semi").join(known, "node", "left")
-    again = stage(again.select("t", "k", "node", "n", "s0", "s1", F.coalesce("_c", "node").alias("component")), "long-run-rows")
+    again = stage_only(lambda: _long_rows(rows, big, one), "long-run-rows")
     # runs of one component hold nothing new
     split = again.groupBy("t", "k").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low <> _high").select("t", "k")
     again = again.join(split, ["t", "k"], "left_semi")
-    out = one
     blocked = again.filter(F.col("n") <= BLOCK_SHINGLES)
     held = sets.join(blocked.select(F.col("node").alias("fp")).distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes"))
     blocked = blocked.join(held.withColumnRenamed("fp", "node"), "node").select(*blocked.columns, "hashes")
-    out = out.unionByName(stage(block_links(blocked, SET_BLOCK), "links"))
-    wide = stage(candidates(again.filter(F.col("n") >= SIMILARITY * BLOCK_SHINGLES), True), "candidates")
-    return out if wide.isEmpty() else out.unionByName(stage(verified(wide.select("a", "b"), sets), "links"))
+    out = one.unionByName(stage_only(lambda: block_links(blocked, SET_BLOCK), "links"))
+    wide = stage_only(lambda: candidates(again.filter(F.col("n") >= SIMILARITY * BLOCK_SHINGLES), True), "candidates")
+    return out if wide.isEmpty() else out.unionByName(stage_only(lambda: verified(wide, sets), "links"))
+
+
+def _long_rows(rows: DataFrame, big: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of long runs, with the component that the links so far give their nodes."""
+    known = components(links).withColumnRenamed("component", "_c")
+    again = rows.join(big, ["t", "k"], "left_semi").join(known, "node", "left")
+    return again.select("t", "k", "node", "n", "s0", "s1", F.coalesce("_c", "node").alias("component"))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -442,6 +448,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     keyed = with_row_key(docs)
     text = keyed[text_col].cast("string")
     at = F.struct(keyed[id_col].isNull().alias("none"), keyed[id_col].alias("id"), F.xxhash64(text).alias("h"), keyed[ROW_KEY].alias("key"))
-    found = similar_documents(keyed.select(at.alias("at"), text.alias("text")), "at", "text")
-    kept = stage(found.filter(F.col("at").eqNullSafe(F.col("component_id"))).select(F.col("at.key").alias(ROW_KEY)), "near")
-    return keep_rows(keyed, kept)
+
+    def kept():
+        found = similar_documents(keyed.select(at.alias("at"), text.alias("text")), "at", "text")
+        return found.filter(F.col("at").eqNullSafe(F.col("component_id"))).select(F.col("at.key").alias(ROW_KEY))
+
+    return keep_rows(keyed, stage_only(kept, "near"))
