@@ -436,7 +436,7 @@ def test_mixing_edges(spark):
 
 @pytest.mark.parametrize("block", [512, 7])
 def test_embedding_links_against_brute_force(spark, block, monkeypatch):
-    monkeypatch.setattr(embedding_dedup.links, "__defaults__", (0.9, 2, block))
+    monkeypatch.setattr(embedding_dedup.links, "__defaults__", (0.9, 2, 6, block))
     r = np.random.default_rng(block)
     vecs = []
     for k in range(60):
@@ -464,6 +464,30 @@ def test_embedding_links_against_brute_force(spark, block, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_agreement_is_the_footrule_of_prefixes():
+    r = np.random.default_rng(1)
+    d = np.array([r.permutation(40)[:16] for _ in range(12)])
+    for i, a in enumerate(d):
+        for j, b in enumerate(d):
+            at = lambda p, q: int(np.flatnonzero(q == p)[0]) if p in q else 16
+            foot = sum(abs(at(p, a) - at(p, b)) for p in set(a) | set(b))
+            assert 16 * 17 - 2 * embedding_dedup.agreement(d, d)[i, j] == foot
+
+
+@pytest.mark.parametrize("dim", [64, 768])
+def test_pairs_near_the_bound_are_recalled(spark, dim):
+    r = np.random.default_rng(dim)
+    base = r.normal(size=(1500, dim))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    other = r.normal(size=base.shape)
+    other -= (other * base).sum(axis=1, keepdims=True) * base
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    mates = 0.905 * base + np.sqrt(1 - 0.905**2) * other
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, mates]))]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert got.filter("n_links > 0").count() >= 0.95 * len(rows) and got.filter("component_id not in (vec_id, vec_id - 1500)").count() == 0
+
+
 # ------------------------------------------------------------ pipeline
 
 
