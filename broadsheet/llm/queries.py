@@ -108,4 +108,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality)}
-ORACLES = {"op2_exact_dedup": OP2_SQL}
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, list_reduce(list_transform(range(8), lambda i: list_reduce(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  ((('0x' || substr(h, i::INTEGER * 5 + 1, 5))::INTEGER >> s) & 31) + 1, 1)), lambda a, b: a || b)), lambda a, b: a || b) AS payload_digest FROM p)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, payload_digest, CASE WHEN page_id = max(page_id) OVER g THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER g THEN max(page_id) OVER g END AS refers_to
+FROM d WINDOW g AS (PARTITION BY h)
+"""
+#: Brute force over all pairs.
+OP8_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+u AS (SELECT vec_id, v FROM e WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a, u b WHERE a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+r(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
+"""
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op8_embedding_near_dedup": OP8_SQL}
