@@ -117,7 +117,8 @@ def agg18_discovery_summary(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def agg27_silhouette(spark: SparkSession, d: str) -> DataFrame:
     e = tables.table(spark, d, "embeddings")
-    return spark.createDataFrame([(clustering.silhouette(e, clustering.kmeans(e, 10)),)], "silhouette double")
+    rows = e.select("vec_id", "embedding").join(clustering.kmeans(e, 10), "vec_id")
+    return clustering.silhouette_rows(rows).agg(F.coalesce(F.avg("silhouette"), F.lit(0.0)).alias("silhouette"))
 
 
 @query("WITH e AS (SELECT entity_type, entity_text AS name, count(*) AS n FROM mentions GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY entity_type ORDER BY n DESC, name) AS rank FROM e) SELECT * FROM r WHERE rank <= 10", ("mentions",))
