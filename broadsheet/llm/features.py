@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.common import stage, unstage
+
 HASH_BITS = 20
 _WORD = re.compile(r"\w+")
 
@@ -35,16 +37,31 @@ def sampled(keys: DataFrame, docs: DataFrame, per_class: dict, most_bytes: int,
     """(label, text) of at most per_class[value] documents and most_bytes bytes for each value of _y, in the order of hashed ids.
 
     keys are rows of longest() with a label _y. A document that the bytes left have no room for is passed over. Only the
-    sample's texts leave the executors, one for each id, however often it repeats.
+    sample's texts leave the executors, one for each id, however often it repeats. Hashes are counted by label and range
+    first, in ranges a fourth of a power of two wide, so no task ranks a label's rows, and about the sample's own number of
+    keys reaches the driver, or all of a label that has no more.
     """
-    order = Window.partitionBy("_y").orderBy("_h", "_id")
-    ranked = keys.withColumn("_h", F.xxhash64(F.col("_id").cast("string"))).withColumn("_rank", F.row_number().over(order))
-    picked, left, taken = {}, dict.fromkeys(per_class, most_bytes), dict.fromkeys(per_class, 0)
-    for r in ranked.filter(F.col("_rank") <= max(per_class.values(), default=0)).orderBy("_y", "_rank").collect():
-        if taken.get(r["_y"], 0) < per_class.get(r["_y"], 0) and r["_n"] <= left[r["_y"]]:
-            left[r["_y"]] -= r["_n"]
-            taken[r["_y"]] += 1
-            picked[r["_id"]] = (r["_k"], r["_y"])
+    most = max(per_class.values(), default=0)
+    share = F.greatest((F.col("_h").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64), F.lit(2.0**-60))
+    hashed = keys.withColumn("_h", F.xxhash64(F.col("_id").cast("string"))).withColumn("_range", F.floor(4 * F.log2(share)))
+    hashed = stage(hashed, "sample-keys")
+    ends, seen = {}, dict.fromkeys(per_class, 0)
+    for r in hashed.groupBy("_y", "_range").count().orderBy("_y", "_range").collect():
+        if seen.get(r["_y"], most) < most:
+            ends[r["_y"]] = r["_range"]
+            seen[r["_y"]] += r["count"]
+    picked, left, taken, rank = {}, dict.fromkeys(per_class, most_bytes), dict.fromkeys(per_class, 0), dict.fromkeys(per_class, 0)
+    if ends:
+        end = F.create_map(*[F.lit(x) for pair in ends.items() for x in pair])
+        low = hashed.filter(F.col("_range") <= F.try_element_at(end, F.col("_y"))).collect()
+        for r in sorted(low, key=lambda r: (r["_y"], r["_h"], r["_id"])):
+            y = r["_y"]
+            rank[y] += 1
+            if rank[y] <= most and taken[y] < per_class[y] and r["_n"] <= left[y]:
+                left[y] -= r["_n"]
+                taken[y] += 1
+                picked[r["_id"]] = (r["_k"], y)
+    unstage(hashed)
     if not picked:
         return []
     ids, hashes = sorted(picked), sorted({k for k, _ in picked.values()})

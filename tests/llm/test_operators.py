@@ -267,6 +267,17 @@ def test_sizes_equal_plain_compression():
     assert langid.LanguageModel({"a": b"x y z " * 20, "b": b"x y z " * 20}, {"a": 1, "b": 5}).predict("x y z")[:1] + (False,) == ("b", langid.LanguageModel({"a": b"x y z " * 20, "b": b"x y z " * 20}).predict("x y z")[3])
 
 
+def test_a_sample_is_the_rows_of_the_lowest_hashes(spark):
+    from broadsheet.llm.features import longest, sampled
+
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), (F.col("id") % 10 > 6).cast("int").alias("y"))
+    keys = longest(docs, "doc_id", "text", docs["y"].alias("_y"))
+    hashes = docs.select("doc_id", "text", "y", F.xxhash64(F.col("doc_id").cast("string")).alias("h")).collect()
+    for most in ({0: 1, 1: 1}, {0: 70, 1: 40}, {0: 5000, 1: 900}, {0: 3}):
+        want = [r for y in most for r in sorted((r for r in hashes if r.y == y), key=lambda r: r.h)[: most[y]]]
+        assert sorted(sampled(keys, docs, most, 1 << 20, "doc_id", "text")) == sorted((r.y, r.text) for r in want)
+
+
 def test_a_sample_is_bounded_by_rows_and_bytes(spark):
     from broadsheet.llm.features import labelled_sample
 
