@@ -143,13 +143,21 @@ class HashedTerms:
         return [np.array(sorted({t for i in set(index[hits[a:b]].tolist()) for t in terms[i]}), np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def select_terms(sets: list[np.ndarray], y: np.ndarray, most: int, least: float) -> np.ndarray:
-    """Slots whose presence tells most about a 0/1 label by the G-test, at most `most`, each with G of at least `least`."""
-    n1, n0 = float(y.sum()), float(len(y) - y.sum())
-    size = 1 << HASH_BITS
-    c1, c0 = np.zeros(size), np.zeros(size)
-    for s, v in zip(sets, y, strict=True):
-        (c1 if v else c0)[s] += 1
+def count_terms(sets, classes: np.ndarray, n: int) -> np.ndarray:
+    """In how many sets of each of n classes every slot is; sets are read once, one at a time."""
+    out = np.zeros((n, 1 << HASH_BITS), np.int32)
+    for s, k in zip(sets, classes, strict=True):
+        out[k, s] += 1
+    return out
+
+
+def telling_terms(c1: np.ndarray, c0: np.ndarray, n1: float, n0: float, most: int, least: float) -> np.ndarray:
+    """Slots whose presence tells most about a 0/1 label by the G-test, at most `most`, each with G of at least `least`.
+
+    c1 and c0 count the rows of each label with a slot, n1 and n0 all rows of each.
+    """
+    slots = np.flatnonzero(c1 + c0)
+    c1, c0 = c1[slots].astype(float), c0[slots].astype(float)
     n, c = n1 + n0, c1 + c0
 
     def part(seen, expected):
@@ -157,7 +165,25 @@ def select_terms(sets: list[np.ndarray], y: np.ndarray, most: int, least: float)
 
     g = 2 * (part(c1, c * n1 / n) + part(c0, c * n0 / n) + part(n1 - c1, (n - c) * n1 / n) + part(n0 - c0, (n - c) * n0 / n))
     best = np.argsort(-g, kind="stable")[:most]
-    return np.sort(best[g[best] >= least])
+    return np.sort(slots[best[g[best] >= least]])
+
+
+def select_terms(sets: list[np.ndarray], y: np.ndarray, most: int, least: float) -> np.ndarray:
+    """telling_terms() of sets with 0/1 labels."""
+    c0, c1 = count_terms(sets, (np.asarray(y) > 0).astype(int), 2)
+    return telling_terms(c1, c0, float(y.sum()), float(len(y) - y.sum()), most, least)
+
+
+def few_at_once(batch: list[str], rows: int = 128, chars: int = 1 << 17):
+    """Slices of texts of at most `rows` and `chars` characters, at least one text each."""
+    start = held = 0
+    for i, t in enumerate(batch):
+        if i > start and (i - start >= rows or held + len(t) > chars):
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(t)
+    if start < len(batch):
+        yield slice(start, len(batch))
 
 
 # ---------------------------------------------------------------- character pairs

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import ROW_KEY, over_text, slices, stage, stage_only, with_row_key
-from broadsheet.llm.features import HashedTerms, labelled_sample, passages, select_terms
+from broadsheet.llm.features import HashedTerms, count_terms, few_at_once, labelled_sample, passages, telling_terms
 
 #: Bounds of the classifier: labelled rows for each domain, terms, and the least G of a term.
 ROWS_PER_DOMAIN, TERMS, LEAST_G = 2500, 1024, 30.0
@@ -63,16 +63,17 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str
     shares = {r.d: r["count"] for r in labels.select(domain.alias("d")).filter("d is not null").groupBy("d").count().collect()}
     sample = labelled_sample(docs, labels, lambda c: F.lit(True), domain, dict.fromkeys(sorted(shares), rows_per_domain), id_col, text_col)
     names = sorted({y for _, y in sample})
-    plain = HashedTerms(None)
-    batches = [[t for t, _ in sample[i : i + 500]] for i in range(0, len(sample), 500)]
-    sets = [s for b in batches for s in plain.sets(pa.array(b, pa.string()))]
-    y = np.array([names.index(d) for _, d in sample], np.int64)
-    slots = np.unique(np.concatenate([np.empty(0, np.int64), *[select_terms(sets, (y == k).astype(float), TERMS // len(names), LEAST_G) for k in range(len(names)) if len(names) > 1]]))
+    batch, y = [t for t, _ in sample], np.array([names.index(d) for _, d in sample], np.int64)
+    del sample
+    slots = _slots(batch, y, len(names))
     width = passages([""], _WIDE)[0].shape[1]
     model = DomainModel(names or [""], slots, np.zeros(width), np.ones(width), np.zeros((len(slots) + width + 1, max(1, len(names))), np.float32), HashedTerms(slots))
     if len(names) < 2:
         return model
-    x = np.concatenate([model.inputs(b) for b in batches])
+    x = np.empty((len(batch), len(slots) + width + 1), np.float32)
+    for part in few_at_once(batch):
+        x[part] = model.inputs(batch[part])
+    del batch
     part = x[:, len(slots) : -1]
     model.mean, model.scale = part.mean(axis=0), part.std(axis=0) + 0.02
     x[:, len(slots) : -1] = (part - model.mean) / model.scale
@@ -91,6 +92,17 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str
     return model
 
 
+def _slots(batch: list[str], y: np.ndarray, domains: int) -> np.ndarray:
+    """Terms that tell a domain from the others. Only counts are held, no text's terms."""
+    if domains < 2:
+        return np.empty(0, np.int64)
+    plain = HashedTerms(None)
+    counts = count_terms((s for part in few_at_once(batch) for s in plain.sets(pa.array(batch[part], pa.string()))), y, domains)
+    rows, total = np.bincount(y, minlength=domains), counts.sum(axis=0, dtype=np.int32)
+    found = [telling_terms(counts[k], total - counts[k], float(rows[k]), float(len(y) - rows[k]), TERMS // domains, LEAST_G) for k in range(domains)]
+    return np.unique(np.concatenate(found))
+
+
 @dataclass
 class Mixture:
     """Rates of documents: from 1, each step takes the posteriors' product with a scaled gradient away, within 0 and `most`."""
