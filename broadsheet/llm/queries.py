@@ -13,6 +13,7 @@ from broadsheet.llm import (
     mixing,
     packing,
     quality,
+    resampling,
     secret_scan,
     simhash,
     toxicity,
@@ -107,7 +108,30 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality)}
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: crc32 is a table of 256 remainders and one step a byte, for the distinct words only.
+OP13_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda c: list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+v AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+a AS (SELECT doc_id, unnest(ws) AS word FROM w), b AS (SELECT unnest(ws) AS word FROM v),
+k AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(word))), lambda i: ('0x' || substr(hex(word), 2 * i::INTEGER + 1, 2))::BIGINT)),
+  lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 10000 AS bucket FROM (SELECT word FROM a UNION SELECT word FROM b), crc),
+s AS (SELECT bucket, count(*) AS s FROM a JOIN k USING (word) GROUP BY 1), t AS (SELECT bucket, count(*) AS t FROM b JOIN k USING (word) GROUP BY 1),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM a) + 10000)::DOUBLE / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+d AS (SELECT doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM a JOIN k USING (word) JOIN g USING (bucket) GROUP BY 1),
+z AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN d USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM z WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank FROM z LEFT JOIN r USING (doc_id)
+"""
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality, op13_importance_resampling)}
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (SELECT *, list_reduce(list_transform(range(8), lambda i: list_reduce(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
@@ -125,4 +149,4 @@ r(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM r JOIN l ON
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1)
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
 """
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op8_embedding_near_dedup": OP8_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op8_embedding_near_dedup": OP8_SQL, "op13_importance_resampling": OP13_SQL}
