@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.llm import (
+    bytepair,
     embedding_dedup,
     exact_dedup,
     langid,
@@ -108,6 +109,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "score", "predicted")
 
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bytepair.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    out = bytepair.decode(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
+    line = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(line, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_features", "weight", "score", "rank")
@@ -131,7 +142,7 @@ r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FRO
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank FROM z LEFT JOIN r USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality, op13_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality, op11_byte_bpe, op13_importance_resampling)}
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (SELECT *, list_reduce(list_transform(range(8), lambda i: list_reduce(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
