@@ -129,6 +129,8 @@ class BytePairs:
         have its turn first; else the first of each piece is, and the others go back. Every join enters at most two pairs,
         so a piece of n bytes takes O(n) entries.
         """
+        if not pieces:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         size = np.array([len(p) for p in pieces], np.int64)
         raw = np.frombuffer(b"".join(pieces), np.uint8)
         n = len(raw)
@@ -173,7 +175,7 @@ class BytePairs:
             pair[at] = after_join
             pair[start[left]] = before_join[left]
             queue.push(np.concatenate([after_join, before_join]), np.concatenate([at, start.astype(np.int32)]))
-        return part[alive], np.add.reduceat(alive, np.cumsum(size) - size, dtype=np.int64) if n else np.empty(0, np.int64)
+        return part[alive], np.add.reduceat(alive, np.cumsum(size) - size, dtype=np.int64)
 
     # ------------------------------------------------------------ texts
 
