@@ -10,6 +10,7 @@ from broadsheet.llm import (
     bytepair,
     embedding_dedup,
     exact_dedup,
+    hard_negatives,
     langid,
     mixing,
     packing,
@@ -119,6 +120,25 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(line, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    rows = rows.select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(rows, rows["vec_id"] % 100 == 0)
+
+
+#: Brute force over all pairs.
+OP12_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10
+"""
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_features", "weight", "score", "rank")
@@ -142,7 +162,7 @@ r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FRO
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank FROM z LEFT JOIN r USING (doc_id)
 """
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality, op11_byte_bpe, op13_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_mixing, op4_warc, op5_simhash_near_dedup, op6_language_id, op7_toxicity, op8_embedding_near_dedup, op9_secret_scan, op10_quality, op11_byte_bpe, op12_hard_negatives, op13_importance_resampling)}
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (SELECT *, list_reduce(list_transform(range(8), lambda i: list_reduce(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
@@ -160,4 +180,4 @@ r(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM r JOIN l ON
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1)
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM c
 """
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op8_embedding_near_dedup": OP8_SQL, "op13_importance_resampling": OP13_SQL}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op4_warc": OP4_SQL, "op8_embedding_near_dedup": OP8_SQL, "op12_hard_negatives": OP12_SQL, "op13_importance_resampling": OP13_SQL}
