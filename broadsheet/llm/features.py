@@ -33,13 +33,14 @@ def longest(docs: DataFrame, id_col: str, text_col: str, *also: Column) -> DataF
     return rows.groupBy("_id").agg(F.max(F.struct(*rest)).alias("_r")).select("_id", *[f"_r.{c}" for c in rest])
 
 
-def sampled(keys: DataFrame, docs: DataFrame, per_class: dict, most_bytes: int, id_col: str, text_col: str) -> list[tuple[object, str]]:
-    """(label, text) of at most per_class[value] documents and most_bytes bytes for each value of _y, in the order of hashed ids.
-
-    keys are rows of longest() with a label _y. A document that the bytes left have no room for is passed over. Only the
-    sample's texts leave the executors, one for each id, however often it repeats. Hashes are counted by label and range
-    first, in ranges a fourth of a power of two wide, so no task ranks a label's rows, and about the sample's own number of
-    keys reaches the driver, or all of a label that has no more.
+def sample_rows(keys: DataFrame, docs: DataFrame, per_class: dict, most_bytes: int, id_col: str, text_col: str) -> DataFrame | None:
+    """Rows (_y, _id, _t) of at most per_class[value] documents and most_bytes bytes for each value of _y, in the order of
+    hashed ids; nothing where there are none.
+
+    keys are rows of longest() with a label _y. A document that the bytes left have no room for is passed over. There is one
+    text for each id, however often it repeats. Hashes are counted by label and range first, in ranges a fourth of a power of
+    two wide, so no task ranks a label's rows, and about the sample's own number of keys reaches the driver, or all of a
+    label that has no more. The picked keys, at most per_class of each label, are broadcast to the texts.
     """
     most = max(per_class.values(), default=0)
     share = F.greatest((F.col("_h").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64), F.lit(2.0**-60))
@@ -50,7 +51,7 @@ def sampled(keys: DataFrame, docs: DataFrame, per_class: dict, most_bytes: int,
         if seen.get(r["_y"], most) < most:
             ends[r["_y"]] = r["_range"]
             seen[r["_y"]] += r["count"]
-    picked, left, taken, rank = {}, dict.fromkeys(per_class, most_bytes), dict.fromkeys(per_class, 0), dict.fromkeys(per_class, 0)
+    picked, left, taken, rank = [], dict.fromkeys(per_class, most_bytes), dict.fromkeys(per_class, 0), dict.fromkeys(per_class, 0)
     if ends:
         end = F.create_map(*[F.lit(x) for pair in ends.items() for x in pair])
         low = hashed.filter(F.col("_range") <= F.try_element_at(end, F.col("_y"))).collect()
@@ -60,26 +61,37 @@ def sampled(keys: DataFrame, docs: DataFrame, per_class: dict, most_bytes: int,
             if rank[y] <= most and taken[y] < per_class[y] and r["_n"] <= left[y]:
                 left[y] -= r["_n"]
                 taken[y] += 1
-                picked[r["_id"]] = (r["_k"], y)
+                picked.append((r["_id"], r["_k"], y))
     unstage(hashed)
     if not picked:
-        return []
-    ids, hashes = sorted(picked), sorted({k for k, _ in picked.values()})
+        return None
+    chosen = docs.sparkSession.createDataFrame(picked, hashed.select("_id", "_k", "_y").schema)
     text = docs[text_col].cast("string")
-    found = docs.filter(docs[id_col].isin(ids)).select(docs[id_col].alias("_id"), F.xxhash64(text).alias("_k"), text.alias("_t")).filter(F.col("_k").isin(hashes))
-    found = found.groupBy("_id", "_k").agg(F.min("_t").alias("_t")).collect()
-    return [(picked[r["_id"]][1], r["_t"]) for r in sorted(found, key=lambda r: r["_id"]) if picked[r["_id"]][0] == r["_k"]]
+    found = docs.select(docs[id_col].alias("_id"), F.xxhash64(text).alias("_k"), text.alias("_t")).join(F.broadcast(chosen), ["_id", "_k"])
+    return found.groupBy("_y", "_id", "_k").agg(F.min("_t").alias("_t")).select("_y", "_id", "_t")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows, label: Column, per_class: dict, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, object]]:
-    """(text, label) of at most per_class[value] documents and most_bytes bytes for each value of `label`, as sampled() picks.
+def sampled(keys: DataFrame, docs: DataFrame, per_class: dict, most_bytes: int, id_col: str, text_col: str) -> list[tuple[object, str]]:
+    """(label, text) of sample_rows(), on the driver, in the order of ids."""
+    rows = sample_rows(keys, docs, per_class, most_bytes, id_col, text_col)
+    return [(r["_y"], r["_t"]) for r in sorted(rows.collect(), key=lambda r: r["_id"])] if rows is not None else []
+
+
+def labelled_keys(docs: DataFrame, labels: DataFrame, rows, label: Column, id_col: str, text_col: str) -> DataFrame:
+    """longest() of the documents that have a label, with it as _y.
 
     labels and docs are joined on the id, `rows(id column)` says which may be learned from. Of labels that repeat an id the
-    largest counts, of documents the longest; null ids, labels and texts are left out. Without any the sample is empty.
+    largest counts, of documents the longest; null ids, labels and texts are left out.
     """
     one = labels.select(F.col(id_col).alias("_id"), label.alias("_y")).filter("_id is not null and _y is not null")
     one = one.filter(rows(F.col("_id"))).groupBy("_id").agg(F.max("_y").alias("_y"))
-    return [(t, y) for y, t in sampled(longest(docs, id_col, text_col).join(one, "_id"), docs, per_class, most_bytes, id_col, text_col)]
+    return longest(docs, id_col, text_col).join(one, "_id")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows, label: Column, per_class: dict, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, object]]:
+    """(text, label) of at most per_class[value] documents and most_bytes bytes for each value of `label`, as sampled() picks
+    from labelled_keys(). Without any the sample is empty."""
+    return [(t, y) for y, t in sampled(labelled_keys(docs, labels, rows, label, id_col, text_col), docs, per_class, most_bytes, id_col, text_col)]
 
 
 # ---------------------------------------------------------------- terms

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import ROW_KEY, over_text, slices, stage, stage_only, with_row_key
-from broadsheet.llm.features import HashedTerms, count_terms, few_at_once, labelled_sample, passages, telling_terms
+from broadsheet.llm.common import ROW_KEY, over_text, slices, small_batches, stage, stage_only, texts, unstage, with_row_key
+from broadsheet.llm.features import HASH_BITS, SAMPLE_BYTES, HashedTerms, labelled_keys, passages, sample_rows, telling_terms
 
 #: Bounds of the classifier: labelled rows for each domain, terms, and the least G of a term.
 ROWS_PER_DOMAIN, TERMS, LEAST_G = 2500, 1024, 30.0
@@ -58,22 +58,23 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str
     """Fit on at most rows_per_domain labelled documents of each domain; each weighs its domain's share of all labels.
 
     Domains are the values of `domain` in labels, sorted. Without labelled documents there is one domain, '', which all
-    belong to.
+    belong to. The sample's texts stay with the executors, which encode them; the driver holds the inputs, four bytes a
+    number, of rows_per_domain rows a domain.
     """
     shares = {r.d: r["count"] for r in labels.select(domain.alias("d")).filter("d is not null").groupBy("d").count().collect()}
-    sample = labelled_sample(docs, labels, lambda c: F.lit(True), domain, dict.fromkeys(sorted(shares), rows_per_domain), id_col, text_col)
-    names = sorted({y for _, y in sample})
-    batch, y = [t for t, _ in sample], np.array([names.index(d) for _, d in sample], np.int64)
-    del sample
-    slots = _slots(batch, y, len(names))
     width = passages([""], _WIDE)[0].shape[1]
-    model = DomainModel(names or [""], slots, np.zeros(width), np.ones(width), np.zeros((len(slots) + width + 1, max(1, len(names))), np.float32), HashedTerms(slots))
+    nothing = np.empty(0, np.int64)
+    keys = labelled_keys(docs, labels, lambda c: F.lit(True), domain, id_col, text_col)
+    rows = sample_rows(keys, docs, dict.fromkeys(sorted(shares), rows_per_domain), SAMPLE_BYTES, id_col, text_col)
+    rows = stage(rows, "domain-sample") if rows is not None else None
+    counted = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()} if rows is not None else {}
+    names = sorted(counted)
     if len(names) < 2:
-        return model
-    x = np.empty((len(batch), len(slots) + width + 1), np.float32)
-    for part in few_at_once(batch):
-        x[part] = model.inputs(batch[part])
-    del batch
+        return DomainModel(names or [""], nothing, np.zeros(width), np.ones(width), np.zeros((width + 1, 1), np.float32), HashedTerms(nothing))
+    slots = _slots(rows, names, [counted[n] for n in names])
+    model = DomainModel(names, slots, np.zeros(width), np.ones(width), np.zeros((len(slots) + width + 1, len(names)), np.float32), HashedTerms(slots))
+    x, y = _encoded(rows, model)
+    unstage(rows)
     part = x[:, len(slots) : -1]
     model.mean, model.scale = part.mean(axis=0), part.std(axis=0) + 0.02
     x[:, len(slots) : -1] = (part - model.mean) / model.scale
@@ -88,21 +89,52 @@ def fit_domains(docs: DataFrame, labels: DataFrame, domain: Column, id_col: str
         g = x.T @ ((z / z.sum(axis=1, keepdims=True) - hot) * weigh).astype(np.float32) + DECAY * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    model.bags = HashedTerms(slots)  # without what it remembers of the sample
     return model
 
 
-def _slots(batch: list[str], y: np.ndarray, domains: int) -> np.ndarray:
-    """Terms that tell a domain from the others. Only counts are held, no text's terms."""
-    if domains < 2:
-        return np.empty(0, np.int64)
-    plain = HashedTerms(None)
-    counts = count_terms((s for part in few_at_once(batch) for s in plain.sets(pa.array(batch[part], pa.string()))), y, domains)
-    rows, total = np.bincount(y, minlength=domains), counts.sum(axis=0, dtype=np.int32)
-    found = [telling_terms(counts[k], total - counts[k], float(rows[k]), float(len(y) - rows[k]), TERMS // domains, LEAST_G) for k in range(domains)]
+def _slots(rows: DataFrame, names: list[str], sizes: list[int]) -> np.ndarray:
+    """Terms that tell a domain from the others. Texts are counted where they are; one count a domain and slot is sent."""
+
+    def run(batches):
+        plain, counts = HashedTerms(None), np.zeros((len(names), 1 << HASH_BITS), np.int32)
+        for b in slices(batches, 128, 1 << 20):
+            for s, y in zip(plain.sets(b.column(1)), b.column(0).to_pylist(), strict=True):
+                counts[names.index(y), s] += 1
+        k, slot = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(slot, pa.int64()), pa.array(counts[k, slot], pa.int64())], names=["k", "slot", "n"])
+
+    small_batches(rows.sparkSession)
+    sums = rows.select("_y", "_t").mapInArrow(run, "k bigint, slot bigint, n bigint").groupBy("k", "slot").agg(F.sum("n").cast("int").alias("n")).toArrow()
+    counts = np.zeros((len(names), 1 << HASH_BITS), np.int32)
+    counts[sums.column("k").to_numpy(), sums.column("slot").to_numpy()] = sums.column("n").to_numpy()
+    total, n = counts.sum(axis=0, dtype=np.int32), sum(sizes)
+    found = [telling_terms(counts[k], total - counts[k], float(m), float(n - m), TERMS // len(names), LEAST_G) for k, m in enumerate(sizes)]
     return np.unique(np.concatenate(found))
 
 
+def _encoded(rows: DataFrame, model: DomainModel) -> tuple[np.ndarray, np.ndarray]:
+    """(inputs, domain numbers) of the sample in the order of ids. The executors encode; places of terms and shares of pairs
+    are sent, no text."""
+    kind, terms = rows.schema["_id"].dataType.simpleString(), len(model.slots)
+
+    def run(batches):
+        for b in slices(batches, 128, 1 << 20):
+            x = model.inputs(texts(b.column(2)))
+            held = [np.flatnonzero(r[:terms]).astype("<u2").tobytes() for r in x]
+            shares = [np.ascontiguousarray(r[terms:-1], "<f4").tobytes() for r in x]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(held, pa.binary()), pa.array(shares, pa.binary())], names=["_y", "_id", "held", "shares"])
+
+    sent = rows.select("_y", "_id", "_t").mapInArrow(run, f"_y string, _id {kind}, held binary, shares binary").orderBy("_id").toArrow()
+    x = np.zeros((sent.num_rows, len(model.weights)), np.float32)
+    x[:, -1] = 1
+    y = np.empty(sent.num_rows, np.int64)
+    for i, (d, held, shares) in enumerate(zip(*(sent.column(c) for c in ("_y", "held", "shares")), strict=True)):
+        y[i] = model.domains.index(d.as_py())
+        x[i, np.frombuffer(held.as_py(), "<u2")] = 1
+        x[i, terms:-1] = np.frombuffer(shares.as_py(), "<f4")
+    return x, y
+
+
 @dataclass
 class Mixture:
     """Rates of documents: from 1, each step takes the posteriors' product with a scaled gradient away, within 0 and `most`."""
