@@ -49,8 +49,34 @@ CLASSES = (
 CUT = re.compile(
     r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|0123456789|(?i:abcdefghijklm(?:n(?:o(?:p(?:q(?:r(?:s(?:t(?:u(?:v(?:w(?:x(?:yz?)?)?)?)?)?)?)?)?)?)?)?)?)"
 )
-#: Spans whose text fits one of these are not reported: words joined by - or _ or /, of which a window may cut the outer two.
-ALLOW = (re.compile(r"[A-Za-z]?[a-z]{0,12}[-_/=+](?:[A-Za-z]?[a-z]{2,12}[-_/=+])*[A-Za-z]?[a-z]{0,12}"),)
+#: Words joined by - or _ or / or = or +, of which a window may cut the outer two, with some numbers of up to four digits
+#: among them, as in dates and names of pages. No repeat can match a text in two ways, so matching is linear in the span.
+_WORD = r"(?:[A-Z]?[a-z]{1,20}+[0-9]{0,2}+|[0-9]{1,4}+|[A-Z]{1,6}+)"
+_JOINED = re.compile(rf"[A-Z]?[a-z]{{0,20}}+[0-9]{{0,4}}+(?:[-_/=+]++{_WORD}?+)++")
+
+
+class JoinedWords:
+    """Spans that are words joined by separators; most parts are words, and numbers are few beside them."""
+
+    def fullmatch(self, text: str, begin: int, end: int) -> bool:
+        if not _JOINED.fullmatch(text, begin, end):
+            return False
+        parts = _SEPARATORS.split(text[begin:end])
+        numbers = sum(p.isdigit() for p in parts)
+        letters = sum(c.isalpha() for p in parts for c in p)
+        return letters >= 0.45 * (end - begin) and numbers <= max(3, len(parts) // 3) and all(_spoken(p) for p in parts[1:-1])
+
+
+_SEPARATORS = re.compile(r"[-_/=+]+")
+
+
+def _spoken(part: str) -> bool:
+    """Whether a part is short, or a number, or has a vowel among its letters, as words have."""
+    return len(part) < 4 or part.isdigit() or any(c in "aeiouyAEIOUY" for c in part)
+
+
+#: Spans whose text fits one of these are not reported.
+ALLOW = (JoinedWords(),)
 #: What short windows of ordinary text look like: lower-case hex (a kind of its own), and joined words, capitals and numbers.
 _PART = r"(?:[A-Z]++(?![a-z])|[a-z]*+(?:[A-Z][a-z]++)*+[A-Z]?+)[0-9]*+"
 PLAIN = re.compile(rf"[0-9a-f]++|{_PART}(?:[-_/=+]++{_PART})*+")
