@@ -50,7 +50,10 @@ def daily_counts(pairs: DataFrame, least: int = LEAST_COUNT, stopwords: DataFram
 
 
 def with_marginals(counts: DataFrame, within: list[str], entity: str = "canonical", count: str = "c11") -> DataFrame:
-    """r, t, n: sums over the entity, over the lemma and over all in `within`; sums are made before they are joined on."""
+    """r, t, n: sums over the entity, over the lemma and over all in `within`; sums are made before they are joined on.
+
+    counts is read for each sum, so give a stored table (sources.shared.stored) where it is dear to make.
+    """
     by = lambda *k: counts.groupBy(*within, *k)
     r, t = by(entity).agg(F.sum(count).alias("r")), by("lemma").agg(F.sum(count).alias("t"))
     n = r.groupBy(*within).agg(F.sum("r").alias("n"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions.text import analysis_text
 from broadsheet.operators import collocations, entities, news, preprocess
 from broadsheet.sources.pages import fetched_articles
+from broadsheet.sources.shared import stored
 from broadsheet.sources.store import SliceStore, insert_ignore
 
 log = logging.getLogger(__name__)
@@ -115,7 +116,7 @@ class DailyJob:
         self._write("mentions", entities.canonicalize(found, aliases).withColumnRenamed("id", "article_id"), day)
 
     def _collocations(self, day: str) -> None:
-        self._write("collocations", collocations.daily_association(collocations.daily_counts(collocations.token_windows(self._texts(day)))), day)
+        self._write("collocations", collocations.daily_association(stored(collocations.daily_counts(collocations.token_windows(self._texts(day))), "collocation-counts")), day)
 
     def _drift(self, day: str) -> None:
         past = self.rows("news_scored").filter(F.col("country_code") == self.country).filter(F.col("collected_date").between(F.date_sub(F.lit(day).cast("date"), 30), F.lit(day).cast("date")))

@@ -13,6 +13,7 @@ from broadsheet.operators import clustering, collocations, entities, evaluation,
 from broadsheet.operators.preprocess import iso_date
 from broadsheet.plans.registry import query
 from broadsheet.sources import tables
+from broadsheet.sources.shared import stored
 
 _COUNTS = ", ".join(f"count(*) FILTER (sentiment_label = '{k}') AS {k}" for k in LABELS)
 
@@ -237,7 +238,7 @@ def ml03_default_mentions(spark: SparkSession, d: str) -> DataFrame:
 def ml12_explanations(spark: SparkSession, d: str) -> DataFrame:
     """Claims with their snippets for the entities of one country, from profiles over 30 days."""
     a = tables.articles(spark, d).filter("country_code = 'UK'")
-    p = collocations.profiles(collocations.daily_counts(collocations.token_windows(a)), "2024-01-30", (30,))
+    p = collocations.profiles(stored(collocations.daily_counts(collocations.token_windows(a)), "collocation-counts"), "2024-01-30", (30,))
     top = p.orderBy(F.col("total_cooccurrences").desc(), "canonical").limit(10)
     found = entities.default_mentions(a).select("id", F.col("entity_text").alias("canonical")).distinct().join(top.select("canonical"), "canonical")
     w = Window.partitionBy("canonical").orderBy(F.col("collected_date").desc(), "id")

@@ -11,6 +11,7 @@ from broadsheet.operators.entities import snippets
 from broadsheet.plans.registry import query
 from broadsheet.sources import tables
 from broadsheet.sources.pages import page_meta
+from broadsheet.sources.shared import stored
 
 END = "2024-01-30"
 
@@ -46,12 +47,18 @@ def _rounded(stats: DataFrame) -> DataFrame:
     return stats.withColumns({"pmi": F.round("pmi", 6), "llr": F.round("llr", 6)})
 
 
-def _counts(spark: SparkSession, d: str) -> DataFrame:
-    return collocations.daily_counts(collocations.token_windows(tables.articles(spark, d)))
+def _counts(spark: SparkSession, d: str, country: str | None = None) -> DataFrame:
+    articles = tables.articles(spark, d)
+    return collocations.daily_counts(collocations.token_windows(articles if country is None else articles.filter(F.col("country_code") == country)))
+
+
+def _stored_counts(spark: SparkSession, d: str, country: str | None = None) -> DataFrame:
+    """Counts, from one scan of the texts; statistics read them for each margin."""
+    return stored(_counts(spark, d, country), "collocation-counts")
 
 
 def _stats(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(collocations.window_association(_counts(spark, d), END))
+    return _rounded(collocations.window_association(_stored_counts(spark, d), END))
 
 
 @query(f"WITH {PAIRS_SQL} SELECT country_code, canonical, count(*) AS pairs, count(DISTINCT lemma) AS lemmas FROM pairs GROUP BY ALL", ("articles",))
@@ -66,13 +73,13 @@ def agg12_collocation_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {PAIRS_SQL}, m AS (SELECT *, CAST(sum(c11) OVER (PARTITION BY country_code, collected_date, canonical) AS BIGINT) AS r, CAST(sum(c11) OVER (PARTITION BY country_code, collected_date, lemma) AS BIGINT) AS t, CAST(sum(c11) OVER (PARTITION BY country_code, collected_date) AS BIGINT) AS n FROM counts) SELECT *, {_measures('c11', 'r', 't', 'n')} FROM m", ("articles",))
 def agg13_daily_association(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(collocations.daily_association(_counts(spark, d)))
+    return _rounded(collocations.daily_association(_stored_counts(spark, d)))
 
 
 @query(f"""WITH {PAIRS_SQL}, {WINDOW_SQL.replace(_measures("c11", "r", "t", "n"), _measures("c11", "r", "t", "n", 9))}, days AS (SELECT country_code, window_days, canonical, count(DISTINCT collected_date) AS coverage_days FROM counts, spans WHERE collected_date BETWEEN DATE '{END}' - (window_days - 1) AND DATE '{END}' GROUP BY ALL)
 SELECT country_code, window_days, canonical, coverage_days, CAST(sum(c11) AS BIGINT) AS total_cooccurrences, max(n) AS window_total, round(avg(pmi), 4) AS avg_pmi, round(avg(llr), 4) AS avg_llr, string_agg(lemma, ',' ORDER BY rank) FILTER (rank <= 20) AS top_collocates FROM ranked JOIN days USING (country_code, window_days, canonical) GROUP BY ALL""", ("articles",))
 def agg14_window_profile(spark: SparkSession, d: str) -> DataFrame:
-    p = collocations.profiles(_counts(spark, d), END)
+    p = collocations.profiles(_stored_counts(spark, d), END)
     return p.select("country_code", "window_days", "canonical", "coverage_days", "total_cooccurrences", "window_total", F.round("avg_pmi", 4).alias("avg_pmi"), F.round("avg_llr", 4).alias("avg_llr"), F.array_join("top_collocates.lemma", ",").alias("top_collocates"))
 
 
@@ -87,9 +94,9 @@ _FRAME_SUMS = ", ".join(f"coalesce(sum(llr) FILTER (frame = '{f}'), 0) / sum(llr
 _FRAMES_SQL = f"{PAIRS_SQL}, {WINDOW_SQL}, {_LEXICON_SQL}, f AS (SELECT country_code, window_days, canonical, {_FRAME_SUMS} FROM ranked JOIN lex USING (lemma) WHERE rank <= 20 GROUP BY ALL HAVING sum(llr) > 0)"
 
 
-def _frames(spark: SparkSession, d: str) -> DataFrame:
+def _frames(spark: SparkSession, d: str, top: DataFrame | None = None) -> DataFrame:
     lexicon = spark.createDataFrame(_LEXICON, "lemma string, frame string")
-    return collocations.frame_intensities(collocations.ranked_collocates(_stats(spark, d)), lexicon, ["country_code", "window_days", "canonical"])
+    return collocations.frame_intensities(collocations.ranked_collocates(_stats(spark, d)) if top is None else top, lexicon, ["country_code", "window_days", "canonical"])
 
 
 @query(f"WITH {_FRAMES_SQL} SELECT country_code, window_days, canonical, {', '.join(f'round({f}, 5) AS {f}' for f in collocations.FRAMES)} FROM f", ("articles",))
@@ -104,14 +111,14 @@ _DOMINANT_SQL = "CASE " + " ".join(f"WHEN {f} = greatest({', '.join(collocations
 g AS (SELECT {_DOMINANT_SQL} AS frame, count(*) AS n FROM f GROUP BY 1), h AS (SELECT CAST(sum(n) AS BIGINT) AS with_frames, -sum(n / z * log2(n / z)) AS bits FROM g, (SELECT sum(n)::DOUBLE AS z FROM g))
 SELECT profiles, with_frames, round(100 * with_frames::DOUBLE / profiles, 1) AS frame_coverage_pct, collocates, unassigned, round(100 * unassigned::DOUBLE / collocates, 1) AS unassigned_pct, round(bits, 3) AS entropy_bits, round(log2(6), 3) AS max_entropy_bits FROM p, h""", ("articles",))
 def agg23_frame_audit(spark: SparkSession, d: str) -> DataFrame:
-    top = collocations.ranked_collocates(_stats(spark, d))
+    top = stored(collocations.ranked_collocates(_stats(spark, d)), "collocates")
     lexicon = spark.createDataFrame(_LEXICON, "lemma string, frame string")
-    return evaluation.frame_audit(top, _frames(spark, d), lexicon, ["country_code", "window_days", "canonical"])
+    return evaluation.frame_audit(top, _frames(spark, d, top), lexicon, ["country_code", "window_days", "canonical"])
 
 
 @query(f"WITH {PAIRS_SQL}, {WINDOW_SQL}, p AS (SELECT country_code, window_days, canonical, CAST(sum(c11) AS BIGINT) AS total_cooccurrences, round(avg(llr), 4) AS avg_llr FROM stats GROUP BY ALL) SELECT * FROM p WHERE window_days = 30 AND country_code = 'UK' AND canonical ILIKE '%th%' ORDER BY total_cooccurrences DESC, avg_llr DESC NULLS LAST, canonical LIMIT 25", ("articles",))
 def top02_directory(spark: SparkSession, d: str) -> DataFrame:
-    p = _rounded(collocations.window_association(_counts(spark, d).filter("country_code = 'UK'"), END, (30,)))
+    p = _rounded(collocations.window_association(_stored_counts(spark, d, "UK"), END, (30,)))
     out = p.groupBy("country_code", "window_days", "canonical").agg(F.sum("c11").alias("total_cooccurrences"), F.round(F.avg("llr"), 4).alias("avg_llr"))
     return out.filter(F.col("canonical").ilike("%th%")).orderBy(F.col("total_cooccurrences").desc(), F.col("avg_llr").desc_nulls_last(), "canonical").limit(25)
 
