@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions import association, text, urls
-from broadsheet.operators import collocations, evaluation, keywords, similarity
+from broadsheet.operators import collocations, evaluation, keywords, lemmas, similarity
 from broadsheet.operators.entities import snippets
 from broadsheet.plans.registry import query
 from broadsheet.sources import tables
@@ -71,6 +71,35 @@ def agg12_collocation_counts(spark: SparkSession, d: str) -> DataFrame:
     return _counts(spark, d)
 
 
+_LANGUAGE_SQL = "CASE country_code WHEN 'DE' THEN 'de' WHEN 'UK' THEN 'en' WHEN 'FR' THEN 'fr' WHEN 'ES' THEN 'es' ELSE '' END"
+_ENDINGS_SQL = ", ".join(f"('{k}', '{e}', '{r}')" for k, v in lemmas.ENDINGS.items() for e, r in v.items())
+
+
+@query(rf"""WITH w AS (SELECT {_LANGUAGE_SQL} AS language, lower(unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+'))) AS word FROM articles),
+c AS (SELECT language, word, count(*) AS n FROM w GROUP BY ALL), e AS (SELECT * FROM (VALUES {_ENDINGS_SQL}) v(language, ending, instead)),
+f AS (SELECT c.language, word, left(word, length(word) - length(ending)) || instead AS lemma FROM c JOIN e ON c.language = e.language AND ends_with(word, ending) AND length(word) - length(ending) >= 3
+  QUALIFY row_number() OVER (PARTITION BY c.language, word ORDER BY length(ending) DESC) = 1)
+SELECT language, word, coalesce(lemma, word) AS lemma, n FROM c LEFT JOIN f USING (language, word)""", ("articles",))
+def ml05_lemmas(spark: SparkSession, d: str) -> DataFrame:
+    return lemmas.lemma_table(tables.articles(spark, d))
+
+
+def _tagged(spark: SparkSession, d: str) -> DataFrame:
+    tokens = lemmas.tokens_of(tables.articles(spark, d))
+    return lemmas.tagged(tokens, lemmas.fit_tags(tokens))
+
+
+@query()
+def ml05_tag_counts(spark: SparkSession, d: str) -> DataFrame:
+    both = F.explode(F.arrays_zip("lemmas", "tags")).alias("t")
+    return _tagged(spark, d).select("language", both).groupBy("language", F.col("t.lemmas").alias("lemma"), F.col("t.tags").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def agg12_lemma_counts(spark: SparkSession, d: str) -> DataFrame:
+    return lemmas.lemma_counts(lemmas.lemma_windows(_tagged(spark, d), ["the", "and", "les", "der"]))
+
+
 @query(f"WITH {PAIRS_SQL}, m AS (SELECT *, CAST(sum(c11) OVER (PARTITION BY country_code, collected_date, canonical) AS BIGINT) AS r, CAST(sum(c11) OVER (PARTITION BY country_code, collected_date, lemma) AS BIGINT) AS t, CAST(sum(c11) OVER (PARTITION BY country_code, collected_date) AS BIGINT) AS n FROM counts) SELECT *, {_measures('c11', 'r', 't', 'n')} FROM m", ("articles",))
 def agg13_daily_association(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(collocations.daily_association(_stored_counts(spark, d)))
