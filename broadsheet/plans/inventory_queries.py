@@ -11,9 +11,10 @@ from broadsheet.functions.scores import LABELS, bucket
 from broadsheet.functions.vectors import dot
 from broadsheet.operators import clustering, collocations, entities, evaluation, explain, news
 from broadsheet.operators.preprocess import iso_date
+from broadsheet.operators.vector_index import VectorIndex
 from broadsheet.plans.registry import query
 from broadsheet.sources import tables
-from broadsheet.sources.shared import stored
+from broadsheet.sources.shared import fresh_path, stored
 
 _COUNTS = ", ".join(f"count(*) FILTER (sentiment_label = '{k}') AS {k}" for k in LABELS)
 
@@ -87,12 +88,19 @@ def join12_gold_minus_held_out(spark: SparkSession, d: str) -> DataFrame:
 
 @query("WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 100 = 0), s AS (SELECT query_id, vec_id, list_inner_product(embedding::DOUBLE[], q) AS s FROM embeddings, q WHERE vec_id <> query_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, round(s, 4) AS similarity, rank FROM r WHERE rank <= 3")
 def join16_query_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """A stated set of queries against all vectors: each task keeps its best three before they are compared."""
+    """A stated set of queries against all vectors, through an index of which all cells are looked into."""
     e = tables.table(spark, d, "embeddings")
-    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    s = e.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", dot(F.col("embedding"), F.col("q")).alias("s"))
-    w = Window.partitionBy("query_id").orderBy(F.col("s").desc(), "vec_id")
-    return s.withColumn("rank", F.row_number().over(w)).filter("rank <= 3").select("query_id", "vec_id", F.round("s", 4).alias("similarity"), "rank")
+    index = VectorIndex.build(e, fresh_path(spark, "vector-index"), metric="dot", recall=1.0)
+    found = index.search(e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), 3, probes=len(index.cells), others=True)
+    return found.select("query_id", F.col("id").alias("vec_id"), F.round("similarity", 4).alias("similarity"), "rank")
+
+
+@query()
+def join16_index_probes(spark: SparkSession, d: str) -> DataFrame:
+    """The ten nearest of each query by cosine in the cells nearest to it."""
+    e = tables.table(spark, d, "embeddings")
+    index = VectorIndex.build(e, fresh_path(spark, "vector-index"))
+    return index.search(e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), 10, others=True)
 
 
 @query("SELECT doc_id, regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])(idiot|loser)[\\p{L}\\p{N}_]*') AS stem_cue, regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])scum($|[^\\p{L}\\p{N}_])') AS exact_cue FROM documents")
