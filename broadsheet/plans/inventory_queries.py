@@ -196,9 +196,9 @@ def sca03_dates(spark: SparkSession, d: str) -> DataFrame:
     return tables.table(spark, d, "events").select("event_id", when.cast("timestamp_ntz").alias("published"))
 
 
-@query("SELECT event_id, CASE WHEN value < 10 THEN 'stable' WHEN value < 25 THEN 'moderate' ELSE 'significant' END AS severity, CASE WHEN value / 100 < 0.55 THEN 'low' WHEN value / 100 < 0.75 THEN 'mid' ELSE 'high' END AS confidence FROM events WHERE value IS NOT NULL AND value NOT IN (10, 25, 55, 75)")
+@query("SELECT event_id, CASE WHEN value / 100 < 0.10::DOUBLE THEN 'stable' WHEN value / 100 < 0.25::DOUBLE THEN 'moderate' WHEN value IS NOT NULL THEN 'significant' END AS severity, CASE WHEN value / 100 < 0.55::DOUBLE THEN 'low' WHEN value / 100 < 0.75::DOUBLE THEN 'mid' WHEN value IS NOT NULL THEN 'high' ELSE 'missing' END AS confidence FROM events")
 def sca16_severity(spark: SparkSession, d: str) -> DataFrame:
-    e = tables.table(spark, d, "events").filter("value is not null and value not in (10, 25, 55, 75)")
+    e = tables.table(spark, d, "events")
     return e.select("event_id", severity(F.col("value") / 100).alias("severity"), bucket(F.col("value") / 100).alias("confidence"))
 
 

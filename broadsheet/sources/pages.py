@@ -42,11 +42,17 @@ def page_meta(pages: DataFrame) -> DataFrame:
 
 
 class ArticleParser(HTMLParser):
-    """Paragraphs of every article, main and body element, and the metadata, in one pass."""
+    """Paragraphs of every article, main and body element, and the metadata, in one pass.
+
+    Open elements are kept in order: an end tag closes the last one of its name and all that were opened in it, so a noise
+    element that is never closed ends with the element around it.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.muted = 0
+        self.elements: list[str] = []
+        self.count: dict[str, int] = {}
+        self.muted: int | None = None  # the place of the outermost open noise element
         self.meta: dict[tuple[str, str], str] = {}
         self.title: str | None = None
         self.heading: str | None = None
@@ -57,9 +63,12 @@ class ArticleParser(HTMLParser):
         self.parts: list[str] | None = None
 
     def handle_starttag(self, tag, attrs):
-        if tag in NOISE:
-            self.muted += 1
-        if self.muted:
+        if tag not in VOID:
+            if tag in NOISE and self.muted is None:
+                self.muted = len(self.elements)
+            self.elements.append(tag)
+            self.count[tag] = self.count.get(tag, 0) + 1
+        if self.muted is not None:
             return
         a = {k: v or "" for k, v in attrs}
         if tag == "meta" and a.get("content"):
@@ -75,11 +84,16 @@ class ArticleParser(HTMLParser):
             self.within, self.parts = tag, []
 
     def handle_endtag(self, tag):
-        if tag in NOISE:
-            self.muted = max(0, self.muted - 1)
-        elif self.muted:
+        if self.count.get(tag):
+            closed = None
+            while closed != tag:
+                closed = self.elements.pop()
+                self.count[closed] -= 1
+            if self.muted is not None and len(self.elements) <= self.muted:
+                self.muted = None
+        if self.muted is not None:
             return
-        elif tag in ("p", "h2"):
+        if tag in ("p", "h2"):
             self._end()
         elif tag == self.within:
             text = re.sub(WHITE_SPACE, " ", " ".join(self.parts or [])).strip()
@@ -96,7 +110,7 @@ class ArticleParser(HTMLParser):
                     break
 
     def handle_data(self, data):
-        if self.parts is not None and not self.muted:
+        if self.parts is not None and self.muted is None:
             self.parts.append(data)
 
     def _end(self):

@@ -103,3 +103,13 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = events.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("sentiment_label", label)
     assert stream.daily_labels(batch).agg(F.sum("total")).first()[0] == events.count()
     assert stream.rolling(batch).count() >= 30 and stream.sessions(batch, "user_id").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_noise_that_is_never_closed_ends_with_the_element_around_it():
+    long = "a paragraph of the article that is long enough to be kept in the text" + " and goes on" * 20
+    for noise in ("form", "nav", "header", "aside"):
+        text = pages.parse_article(f"<body><div><{noise}><input><p>{long} of noise</div><article><p>{long}</p></article></body>")
+        assert text[3] == long and text[-1] == "parsed", noise
+        assert pages.parse_article(f"<article><p>{long}</p><{noise}><div><p>{long} noise</p></div></{noise}><p>Second {long}</p></article>")[3].count("Second") == 1
+    assert pages.parse_article(f"<body><nav><p>{long}</p>")[-1] == "empty"
+    assert pages.parse_article("</div></p></nav>" * 1000 + f"<p>{long}</p>")[-1] == "parsed"
