@@ -128,6 +128,8 @@ def score(docs: DataFrame, model: AttentionModel, id_col: str = "doc_id", text_c
 
     Null and empty texts are one empty passage. Nothing is shuffled. An empty table gives no rows. Other columns of docs
     are not read.
+    Rows that repeat an id are scored by their own texts; columns of docs named like a result don't clash, unless id_col has
+    that name, which is an error.
     """
 
     def rows_of(batch):

@@ -87,6 +87,8 @@ def score(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id",
 
     A text without known terms, null and empty ones too, gets the bias. Nothing is shuffled. An empty table gives no rows.
     Other columns of docs are not read.
+    Rows that repeat an id are scored by their own texts; columns of docs named like a result don't clash, unless id_col has
+    that name, which is an error.
     """
     bags = HashedTerms(model.slots)
 
