@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,8 +11,6 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.vectors import dot
 
-MIN_SIZE = 8
-
 
 def kmeans(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 42) -> DataFrame:
     """(id, cluster_id) by k-means over all rows, at most as many clusters as rows."""
@@ -34,52 +30,6 @@ def silhouette(vectors: DataFrame, clusters: DataFrame, id_col: str = "vec_id",
     return ClusteringEvaluator(predictionCol="cluster_id", distanceMeasure="cosine").evaluate(rows)
 
 
-def density_labels(x: np.ndarray, min_size: int = MIN_SIZE, radius: float | None = None) -> np.ndarray:
-    """Density clusters of unit vectors: cores have min_size neighbours within the radius; -1 is noise.
-
-    Without a radius it is the median distance to the min_size-th neighbour. Clusters are numbered by size, then by their
-    first row; those smaller than min_size are noise, and fewer than three rows are all noise.
-    """
-    n = len(x)
-    if n < max(3, min_size):
-        return np.full(n, -1)
-    norm = np.linalg.norm(x, axis=1, keepdims=True)
-    u = x / np.where(norm > 0, norm, 1)
-    far = np.empty(n)
-    for at in range(0, n, 1024):
-        far[at : at + 1024] = np.partition(1 - u[at : at + 1024] @ u.T, min_size - 1, axis=1)[:, min_size - 1]
-    radius = float(np.median(far)) if radius is None else radius
-    core = far <= radius
-    label = np.where(core, np.arange(n), n)
-    while True:
-        after = label.copy()
-        for at in range(0, n, 1024):
-            near = (1 - u[at : at + 1024] @ u.T <= radius) & core[None, :]
-            low = np.where(near, label[None, :], n).min(axis=1)
-            after[at : at + 1024] = np.minimum(after[at : at + 1024], low)
-        if np.array_equal(after, label):
-            break
-        label = after
-    roots, counts = np.unique(label[label < n], return_counts=True)
-    order = sorted((r for r, c in zip(roots, counts, strict=True) if c >= min_size), key=lambda r: (-counts[list(roots).index(r)], r))
-    number = {r: i for i, r in enumerate(order)}
-    return np.array([number.get(v, -1) for v in label])
-
-
-def density_clusters(vectors: DataFrame, slice_cols: list[str], id_col: str = "vec_id", vector_col: str = "embedding", min_size: int = MIN_SIZE) -> DataFrame:
-    """(slice columns, id, cluster_id): density clusters within each slice, a country's day, which one task holds."""
-    kinds = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*slice_cols, id_col]) + ", cluster_id int"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(id_col)
-        out = pdf[[*slice_cols, id_col]].copy()
-        out["cluster_id"] = density_labels(np.array(pdf[vector_col].tolist(), dtype=float), min_size).astype("int32")
-        return out
-
-    return vectors.select(*slice_cols, id_col, vector_col).groupBy(*slice_cols).applyInPandas(run, schema)
-
-
 def hashed_embedding(texts: DataFrame, id_col: str, text_col: str, dim: int = 384) -> DataFrame:
     """Default embedder: signed hashed words, of norm 1; built-in functions only."""
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}_]+"), lambda w: w != "")

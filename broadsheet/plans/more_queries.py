@@ -9,7 +9,7 @@ from broadsheet.functions import entities as names
 from broadsheet.functions import text, urls
 from broadsheet.functions.association import entropy_bits, percent
 from broadsheet.functions.scores import LABELS
-from broadsheet.operators import clustering, entities, keywords, news, preprocess
+from broadsheet.operators import clustering, density, entities, keywords, news, preprocess
 from broadsheet.plans.news_queries import AS_OF
 from broadsheet.plans.registry import query
 from broadsheet.sources import feeds, pages, store, tables
@@ -184,7 +184,7 @@ def ml08_kmeans(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def ml09_density_clusters(spark: SparkSession, d: str) -> DataFrame:
     e = tables.table(spark, d, "embeddings").withColumn("day", (F.col("vec_id") % 4).cast("int"))
-    return clustering.density_clusters(e, ["day"])
+    return density.density_clusters(density.reduced(e), ["day"])
 
 
 @query("SELECT count(*) AS rows FROM benchmark")

@@ -1,6 +1,5 @@
 from datetime import date
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,14 +97,6 @@ def test_german_phrases(spark):
     assert {(r.term, r["rank"]) for r in keywords.german_phrases(ranked, pairs, ["das"]).collect()} == {("das sofa", 1), ("bett", 3)}
 
 
-def test_density_clusters():
-    r = np.random.default_rng(0)
-    x = np.concatenate([r.normal([5, 0, 0], 0.1, (30, 3)), r.normal([0, 5, 0], 0.1, (20, 3)), r.normal(0, 5, (4, 3))])
-    labels = clustering.density_labels(x, 8)
-    assert set(labels[:30]) - {-1} == {0} and set(labels[30:50]) - {-1} == {1} and (labels[:30] == 0).sum() >= 14
-    assert set(clustering.density_labels(x[:2])) == {-1}
-
-
 def test_kmeans_and_silhouette(spark):
     rows = spark.createDataFrame([(i, [float(i % 2) * 9 + 1, float(1 - i % 2) * 9 + 1 + i * 0.01]) for i in range(20)], "vec_id int, embedding array<double>")
     c = clustering.kmeans(rows, 2)
