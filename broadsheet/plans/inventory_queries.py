@@ -9,7 +9,7 @@ from broadsheet.functions import text
 from broadsheet.functions.association import percent, psi_term, severity
 from broadsheet.functions.scores import LABELS, bucket
 from broadsheet.functions.vectors import dot
-from broadsheet.operators import clustering, collocations, entities, evaluation, explain, news
+from broadsheet.operators import clustering, collocations, entities, evaluation, explain, lexicon, news
 from broadsheet.operators.preprocess import iso_date
 from broadsheet.operators.vector_index import VectorIndex
 from broadsheet.plans.registry import query
@@ -109,6 +109,34 @@ def join17_cues(spark: SparkSession, d: str) -> DataFrame:
     return tables.table(spark, d, "documents").select("doc_id", text.has_cue(low, ["idiot", "loser"]).alias("stem_cue"), text.has_cue(low, ["=scum"]).alias("exact_cue"))
 
 
+def _benchmark_terms(spark: SparkSession, d: str) -> DataFrame:
+    """term: every run of one to three words of the benchmark passages, in lower case."""
+    rows = tables.table(spark, d, "benchmark").select(F.regexp_extract_all(F.lower("text"), F.lit("[\\p{L}\\p{N}_]+"), F.lit(0)).alias("w")).filter(F.size("w") > 0)
+
+    def runs(n: int):
+        return F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.when(i + n - 1 <= F.size("w"), F.array_join(F.slice("w", i, n), " ")))
+
+    return rows.select(F.explode(F.concat(runs(1), runs(2), runs(3))).alias("term")).filter("term is not null").distinct()
+
+
+@query("""WITH b AS (SELECT regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM benchmark), t AS (SELECT DISTINCT array_to_string(w[i:i + n - 1], ' ') AS term FROM b, range(1, 4) AS l(n), unnest(range(1, len(w) - n + 2)) AS u(i)),
+d AS (SELECT row_number() OVER () AS k, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') AS w FROM documents), p AS (SELECT k, unnest(w) AS a, unnest(range(len(w))) AS i FROM d), g AS (SELECT k, a, lead(a) OVER q AS b, lead(a, 2) OVER q AS c FROM p WINDOW q AS (PARTITION BY k ORDER BY i)),
+o AS (SELECT k, a AS term FROM g UNION ALL SELECT k, a || ' ' || b FROM g WHERE b IS NOT NULL UNION ALL SELECT k, a || ' ' || b || ' ' || c FROM g WHERE c IS NOT NULL)
+SELECT term, count(*) AS occurrences, count(DISTINCT k) AS documents FROM o JOIN t USING (term) GROUP BY term""")
+def join17_lexicon_terms(spark: SparkSession, d: str) -> DataFrame:
+    """How often each of the benchmark's terms occurs in all documents, overlaps too, and in how many."""
+    docs = tables.table(spark, d, "documents").withColumn("_row", F.monotonically_increasing_id())
+    found = lexicon.find_terms(docs, _benchmark_terms(spark, d), ["_row"], overlapping=True, gap=None, accents=True)
+    a_document = found.groupBy("term", "_row").agg(F.count(F.lit(1)).alias("n"))
+    return a_document.groupBy("term").agg(F.sum("n").alias("occurrences"), F.count(F.lit(1)).alias("documents"))
+
+
+@query()
+def ml03_lexicon_mentions(spark: SparkSession, d: str) -> DataFrame:
+    """Leftmost-longest mentions of the benchmark's terms in all documents, with places in code points."""
+    return lexicon.find_terms(tables.table(spark, d, "documents"), _benchmark_terms(spark, d), ["doc_id"], gap=None, accents=True)
+
+
 # ---------------------------------------------------------------- aggregates
 
 
