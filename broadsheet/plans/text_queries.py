@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions import association, text, urls
-from broadsheet.operators import collocations, evaluation, keywords, lemmas, similarity
+from broadsheet.operators import collocations, evaluation, keywords, lemmas, rolling, similarity
 from broadsheet.operators.entities import snippets
 from broadsheet.plans.registry import query
 from broadsheet.sources import tables
@@ -112,6 +114,19 @@ def agg14_window_profile(spark: SparkSession, d: str) -> DataFrame:
     return p.select("country_code", "window_days", "canonical", "coverage_days", "total_cooccurrences", "window_total", F.round("avg_pmi", 4).alias("avg_pmi"), F.round("avg_llr", 4).alias("avg_llr"), F.array_join("top_collocates.lemma", ",").alias("top_collocates"))
 
 
+@query(f"""WITH {PAIRS_SQL}, spans AS (SELECT w.window_days, (DATE '2024-01-01' + CAST(e.i AS INTEGER))::DATE AS end_date FROM (SELECT unnest([7, 30]) AS window_days) w, range(60) e(i)),
+held AS (SELECT * FROM counts, spans WHERE collected_date BETWEEN end_date - CAST(window_days - 1 AS INTEGER) AND end_date),
+summed AS (SELECT country_code, window_days, end_date, canonical, lemma, CAST(sum(c11) AS BIGINT) AS c11 FROM held GROUP BY ALL),
+marg AS (SELECT *, CAST(sum(c11) OVER (PARTITION BY country_code, window_days, end_date, canonical) AS BIGINT) AS r, CAST(sum(c11) OVER (PARTITION BY country_code, window_days, end_date, lemma) AS BIGINT) AS t, CAST(sum(c11) OVER (PARTITION BY country_code, window_days, end_date) AS BIGINT) AS n FROM summed),
+stats AS (SELECT *, {_measures("c11", "r", "t", "n", 9)} FROM marg), ranked AS (SELECT *, row_number() OVER (PARTITION BY country_code, window_days, end_date, canonical ORDER BY llr DESC, pmi DESC, lemma) AS rank FROM stats),
+days AS (SELECT country_code, window_days, end_date, canonical, count(DISTINCT collected_date) AS coverage_days FROM held GROUP BY ALL)
+SELECT country_code, window_days, end_date, canonical, coverage_days, CAST(sum(c11) AS BIGINT) AS total_cooccurrences, max(n) AS window_total, round(avg(pmi), 4) AS avg_pmi, round(avg(llr), 4) AS avg_llr, string_agg(lemma, ',' ORDER BY rank) FILTER (rank <= 20) AS top_collocates FROM ranked JOIN days USING (country_code, window_days, end_date, canonical) GROUP BY ALL""", ("articles",))
+def agg14_profiles_of_all_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles over 7 and 30 days for each of 60 end dates."""
+    p = rolling.profiles(_stored_counts(spark, d), date(2024, 1, 1), date(2024, 2, 29))
+    return p.select("country_code", "window_days", "end_date", "canonical", "coverage_days", "total_cooccurrences", "window_total", F.round("avg_pmi", 4).alias("avg_pmi"), F.round("avg_llr", 4).alias("avg_llr"), F.array_join("top_collocates.lemma", ",").alias("top_collocates"))
+
+
 @query(f"WITH {PAIRS_SQL}, {WINDOW_SQL} SELECT country_code, window_days, canonical, rank, lemma, c11, pmi, llr FROM ranked WHERE rank <= 20", ("articles",))
 def win07_top_collocates(spark: SparkSession, d: str) -> DataFrame:
     return collocations.ranked_collocates(_stats(spark, d)).select("country_code", "window_days", "canonical", "rank", "lemma", "c11", "pmi", "llr")
