@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from broadsheet.sources.store import SliceStore
+
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 FEATURES, LEAST_DOCS = 5000, 2
 #: German articles that a noun may be shown with.
@@ -22,27 +24,57 @@ def terms(docs: DataFrame) -> DataFrame:
     return out.groupBy("doc_id", "cluster", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def weights(docs: DataFrame, features: int = FEATURES, least: int = LEAST_DOCS) -> DataFrame:
+class TermCounts:
+    """Document frequencies of a corpus that grows: a table of (slice, term, df, total), a slice a day, say.
+
+    A slice is counted once, when it comes; one that comes again takes the place of what was counted, and an empty one
+    clears it. Weights read sums over slices and never the texts of earlier ones. The term '' counts a slice's documents.
+    A document is in one slice: rows of one id in one slice are one document for its terms.
+    """
+
+    SCHEMA = "term string, df bigint, total bigint, slice string"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.store = SliceStore(spark, path, ("slice",))
+
+    def put(self, docs: DataFrame, slices: list[str], slice_col: str = "slice") -> None:
+        """Count the documents (doc_id, text, slice) of the slices named; documents of others are not read, null texts have no terms."""
+        of = F.col(slice_col).cast("string")
+        rows = docs.filter(of.isin(*slices)).select("doc_id", of.alias("cluster"), "text")
+        counts = terms(rows).groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+        every = rows.groupBy("cluster").agg(F.lit("").alias("term"), F.count(F.lit(1)).alias("df"), F.lit(0).cast("bigint").alias("total"))
+        self.store.replace(counts.unionByName(every).withColumnRenamed("cluster", "slice"), [{"slice": s} for s in slices])
+
+    def rows(self) -> DataFrame:
+        return self.store.rows(self.SCHEMA)
+
+
+def weights(docs: DataFrame, features: int = FEATURES, least: int = LEAST_DOCS, counts: DataFrame | None = None) -> DataFrame:
     """(doc_id, cluster, term, weight): (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), each document's weights of norm 1.
 
-    The vocabulary is the `features` terms of the highest total count that are in at least `least` documents.
+    The vocabulary is the `features` terms of the highest total count that are in at least `least` documents. Frequencies are
+    those of docs, or with `counts`, the rows of a TermCounts, those of its corpus, in which docs may be a day alone.
     """
     tf = terms(docs)
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).filter(F.col("df") >= least)
-    vocabulary = df.orderBy(F.col("total").desc(), "term").limit(features)
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
+    if counts is None:
+        df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+        n = docs.agg(F.count(F.lit(1)).alias("n"))
+    else:
+        df = counts.filter("term <> ''").groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+        n = counts.filter("term = ''").agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n"))
+    vocabulary = df.filter(F.col("df") >= least).orderBy(F.col("total").desc(), "term").limit(features)
     # bounded by `features` rows, and by one
     raw = tf.join(F.broadcast(vocabulary), "term").crossJoin(F.broadcast(n))
     raw = raw.withColumn("w", (1 + F.ln("tf")) * (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1))
     return raw.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))).select("doc_id", "cluster", "term", "weight")
 
 
-def top_keywords(docs: DataFrame, stopwords: list[str], k: int = 8) -> DataFrame:
-    """The k informative terms of each cluster with the highest mean weight; ties by term.
+def top_keywords(docs: DataFrame, stopwords: list[str], k: int = 8, counts: DataFrame | None = None) -> DataFrame:
+    """The k informative terms of each cluster with the highest mean weight; ties by term. counts: see weights.
 
     A word must be no stopword; a pair must have one that is none.
     """
-    w = weights(docs)
+    w = weights(docs, counts=counts)
     sizes = docs.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"))
     mean = w.groupBy("cluster", "term").agg(F.sum("weight").alias("s")).join(sizes, "cluster").select("cluster", "term", (F.col("s") / F.col("docs")).alias("weight"))
     stop = F.array(*map(F.lit, stopwords)) if stopwords else F.array().cast("array<string>")

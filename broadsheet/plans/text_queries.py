@@ -13,7 +13,7 @@ from broadsheet.operators.entities import snippets
 from broadsheet.plans.registry import query
 from broadsheet.sources import tables
 from broadsheet.sources.pages import page_meta
-from broadsheet.sources.shared import stored
+from broadsheet.sources.shared import fresh_path, stored
 
 END = "2024-01-30"
 
@@ -180,6 +180,16 @@ def ml10_tfidf_keywords(spark: SparkSession, d: str) -> DataFrame:
     return keywords.top_keywords(docs, ["the", "and", "les", "der", "de", "la"], k=8).withColumn("weight", F.round("weight", 6))
 
 
+@query(keywords.SQL)
+def ml10_kept_frequencies(spark: SparkSession, d: str) -> DataFrame:
+    """The same keywords from document frequencies that five days have brought, each counted when it came."""
+    docs = tables.table(spark, d, "documents").select("doc_id", F.col("lang").alias("cluster"), "text", F.pmod("doc_id", F.lit(5)).alias("slice"))
+    held = keywords.TermCounts(spark, fresh_path(spark, "term-counts"))
+    for day in range(5):
+        held.put(docs, [str(day)])
+    return keywords.top_keywords(docs, ["the", "and", "les", "der", "de", "la"], k=8, counts=held.rows()).withColumn("weight", F.round("weight", 6))
+
+
 @query("""WITH p AS (SELECT l.quality AS actual, CASE WHEN d.n_chars > 900 THEN 1 ELSE 0 END AS predicted FROM labels l JOIN documents d USING (doc_id)), c AS (SELECT unnest([0, 1]) AS label),
 m AS (SELECT label, count(*) FILTER (actual = label AND predicted = label) AS tp, count(*) FILTER (actual <> label AND predicted = label) AS fp, count(*) FILTER (actual = label AND predicted <> label) AS fn, count(*) AS n, count(*) FILTER (actual = predicted) AS hits FROM c, p GROUP BY 1),
 f AS (SELECT *, coalesce(round(tp::DOUBLE / nullif(tp + fp, 0), 4), 0) AS prec, coalesce(round(tp::DOUBLE / nullif(tp + fn, 0), 4), 0) AS recall, coalesce(round(2 * tp::DOUBLE / nullif(2 * tp + fp + fn, 0), 4), 0) AS f1 FROM m)

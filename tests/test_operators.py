@@ -97,6 +97,21 @@ def test_german_phrases(spark):
     assert {(r.term, r["rank"]) for r in keywords.german_phrases(ranked, pairs, ["das"]).collect()} == {("das sofa", 1), ("bett", 3)}
 
 
+def test_kept_document_frequencies(spark, tmp_path):
+    rows = [(1, "a", "red fox red", "d1"), (2, "a", "red hen", "d1"), (3, "b", "blue hen", "d2"), (4, "b", None, "d2"), (5, "b", "blue fox", "d3"), (5, "b", "blue fox", "d3")]
+    docs = spark.createDataFrame(rows, "doc_id long, cluster string, text string, slice string").withColumn("df", F.lit("x"))
+    held = keywords.TermCounts(spark, str(tmp_path / "counts"))
+    assert held.rows().collect() == []
+    for day in ("d1", "d2", "d3", "d2"):
+        held.put(docs, [day])
+    plain = lambda df: sorted((r.doc_id, r.term, round(r.weight, 9)) for r in df.collect())
+    assert plain(keywords.weights(docs, least=1, counts=held.rows())) == plain(keywords.weights(docs, least=1)) != []
+    day = docs.filter("slice = 'd2'")
+    assert plain(keywords.weights(day, least=1, counts=held.rows())) == [x for x in plain(keywords.weights(docs, least=1)) if x[0] in (3, 4)]
+    held.put(docs.filter("slice <> 'd3'"), ["d3"])
+    assert plain(keywords.weights(docs.filter("slice <> 'd3'"), least=1, counts=held.rows())) == plain(keywords.weights(docs.filter("slice <> 'd3'"), least=1))
+
+
 def test_kmeans_and_silhouette(spark):
     rows = spark.createDataFrame([(i, [float(i % 2) * 9 + 1, float(1 - i % 2) * 9 + 1 + i * 0.01]) for i in range(20)], "vec_id int, embedding array<double>")
     c = clustering.kmeans(rows, 2)
