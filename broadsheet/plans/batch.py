@@ -24,7 +24,10 @@ SCHEMAS = {
     "mentions": "article_id long, entity_text string, entity_type string, position int, canonical string, wikidata_qid string, confidence double, resolver_method string, country_code string, collected_date date",
     "collocations": "canonical string, lemma string, c11 long, r long, t long, n long, pmi double, llr double, country_code string, collected_date date",
     "drift": "status string, psi double, severity string, baseline_days long, today_total long, delta_negative double, delta_neutral double, delta_positive double, country_code string, collected_date date",
+    "steps": "step string, outcome string, country_code string, collected_date date",
 }
+#: A day is done when all of these have ended ok.
+STEPS = ("news_raw", "news_articles", "news_scored", "mentions", "collocations", "drift")
 
 
 @dataclass
@@ -69,12 +72,16 @@ class DailyJob:
 
     def run(self, items: DataFrame, day: str, run_at: str) -> dict[str, str]:
         """items: title, summary, source_name, published_date, link, category, id. A repeat with the same items changes nothing."""
-        self._step("news_raw", lambda: self._collect(items, day))
-        self._step("news_articles", lambda: self._fetch(day))
-        self._step("news_scored", lambda: self._score(day, run_at))
-        self._step("mentions", lambda: self._mentions(day))
-        self._step("collocations", lambda: self._collocations(day))
-        self._step("drift", lambda: self._drift(day))
+        self.done = {}
+        try:
+            self._step("news_raw", lambda: self._collect(items, day))
+            self._step("news_articles", lambda: self._fetch(day))
+            self._step("news_scored", lambda: self._score(day, run_at))
+            self._step("mentions", lambda: self._mentions(day))
+            self._step("collocations", lambda: self._collocations(day))
+            self._step("drift", lambda: self._drift(day))
+        finally:
+            self._write("steps", self.spark.createDataFrame(list(self.done.items()), "step string, outcome string"), day)
         return self.done
 
     def _collect(self, items: DataFrame, day: str) -> None:
@@ -123,16 +130,18 @@ class DailyJob:
         self._write("drift", news.in_slice(news.drift(past), day, self.country), day)
 
     def backfill(self, items_of: Callable[[str], DataFrame], days: list[str], run_at: str) -> dict[str, str]:
-        """Days whose last step has no slice yet, so a day that failed on its way is done again; a failed day is noted and the
-        rest go on."""
-        held = {str(r[0]) for r in self.rows("drift").filter(F.col("country_code") == self.country).select("collected_date").distinct().collect()}
+        """Days that have not ended with every step ok, the soft ones too, are done again; a failed day is noted with the steps
+        that failed, and the rest go on. A day whose driver was lost has no steps written, so it is done again as well."""
+        rows = self.rows("steps").filter(F.col("country_code") == self.country)
+        ended = rows.groupBy("collected_date").agg(F.bool_and(F.col("outcome") == "ok").alias("ok"), F.count_distinct("step").alias("n"))
+        held = {str(r[0]) for r in ended.filter(F.col("ok") & (F.col("n") == len(STEPS))).select("collected_date").collect()}  # a row a day
         out = {}
         for day in days:
             if day in held:
                 continue
             try:
-                self.run(items_of(day), day, run_at)
-                out[day] = "ok"
+                failed = {k: v for k, v in self.run(items_of(day), day, run_at).items() if v != "ok"}
+                out[day] = "; ".join(f"{k}: {v}" for k, v in failed.items()) or "ok"
             except Exception as e:
                 out[day] = f"{type(e).__name__}: {e}"
         return out

@@ -47,6 +47,22 @@ def test_a_day_that_failed_on_its_way_is_done_again(spark, tmp_path):
     assert job.rows("news_scored").count() == 1
 
 
+def test_a_soft_step_that_failed_is_repaired(spark, tmp_path, monkeypatch):
+    job = DailyJob(spark, str(tmp_path), "UK", "en")
+    one = items(spark, (1, "Angela said the war is bad. Angela said so.", "and Angela said the war again", None))
+
+    def broken(day):
+        raise RuntimeError("no tagger")
+
+    with monkeypatch.context() as m:
+        m.setattr(job, "_mentions", broken)
+        assert job.backfill(lambda d: one, ["2024-01-05"], "2024-01-06 12:00:00") == {"2024-01-05": "mentions: RuntimeError: no tagger"}
+    assert job.rows("mentions").count() == 0 and job.rows("drift").count() == 1
+    assert job.backfill(lambda d: one, ["2024-01-05"], "2024-01-06 12:00:00") == {"2024-01-05": "ok"}
+    assert job.rows("mentions").filter("canonical = 'Angela'").count() == 3
+    assert job.backfill(lambda d: one, ["2024-01-05"], "2024-01-06 12:00:00") == {}
+
+
 def test_a_slice_left_aside_is_put_back(spark, tmp_path):
     held = SliceStore(spark, str(tmp_path / "t"))
     rows = spark.createDataFrame([(1, "DE", "2024-01-05"), (2, "FR", "2024-01-05")], "id long, country_code string, collected_date string").withColumn("collected_date", F.to_date("collected_date"))
