@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.functions.vectors import dot
-from broadsheet.sources.shared import stored
+from broadsheet.sources.shared import drop_path, shared_dir, stored
 
 MIN_SIZE = 8
 #: Distinct vectors of a block (two blocks meet in a task), and edges of a slice that a task merges at once, about.
@@ -129,32 +131,32 @@ def _forest_of_pairs(points: DataFrame) -> DataFrame:
     return _pairs(points, False).groupBy("_s", "a", "b").applyInPandas(run, "_s string, u bigint, v bigint, w double, blocks int")
 
 
-def spanning_forest(edges: DataFrame) -> DataFrame:
+def spanning_forest(edges: DataFrame, under: str = "density") -> DataFrame:
     """(_s, u, v, w): the minimum spanning forest of edges by Borůvka's rounds; ties by u and v.
 
     Each round takes the least edge of every component, joins components along them by doubling pointers, and keeps the
     least edge between two components, so a component that holds most rows has no more edges than there are components.
     """
-    left = stored(edges.groupBy("_s", "u", "v").agg(F.min("w").alias("w")).select("_s", "u", "v", "w", F.col("u").alias("cu"), F.col("v").alias("cv")), "density-edges")
+    left = stored(edges.groupBy("_s", "u", "v").agg(F.min("w").alias("w")).select("_s", "u", "v", "w", F.col("u").alias("cu"), F.col("v").alias("cv")), f"{under}/edges")
     taken = []
     while not left.isEmpty():
         edge = lambda to: F.struct("w", "u", "v", F.col(to).alias("to"), "_s")
         ends = left.select(F.col("cu").alias("c"), edge("cv").alias("e")).union(left.select(F.col("cv").alias("c"), edge("cu").alias("e")))
-        least = stored(ends.groupBy("c").agg(F.min("e").alias("e")).select("c", "e.*"), "density-least")
+        least = stored(ends.groupBy("c").agg(F.min("e").alias("e")).select("c", "e.*"), f"{under}/least")
         taken.append(least.select("_s", "u", "v", "w").distinct())
         back = least.select(F.col("c").alias("to"), F.col("to").alias("_back"))
         root = (F.col("_back") == F.col("c")) & (F.col("c") < F.col("to"))
-        hooks = stored(least.join(back, "to", "left").select("c", F.when(root, F.col("c")).otherwise(F.col("to")).alias("r")), "density-hooks")
+        hooks = stored(least.join(back, "to", "left").select("c", F.when(root, F.col("c")).otherwise(F.col("to")).alias("r")), f"{under}/hooks")
         while True:
             up = hooks.select(F.col("c").alias("r"), F.col("r").alias("_r"))
-            after = stored(hooks.join(up, "r").select("c", F.col("_r").alias("r"), (F.col("r") != F.col("_r")).alias("moved")), "density-hooks")
+            after = stored(hooks.join(up, "r").select("c", F.col("_r").alias("r"), (F.col("r") != F.col("_r")).alias("moved")), f"{under}/hooks")
             hooks = after.select("c", "r")
             if after.filter("moved").isEmpty():
                 break
         for end in ("cu", "cv"):
             left = left.join(hooks.select(F.col("c").alias(end), F.col("r").alias("_r")), end).drop(end).withColumnRenamed("_r", end)
         left = left.filter("cu != cv").groupBy(F.least("cu", "cv").alias("a"), F.greatest("cu", "cv").alias("b")).agg(F.min(F.struct("w", "u", "v", "_s")).alias("e"))
-        left = stored(left.select("e._s", "e.u", "e.v", "e.w", F.col("a").alias("cu"), F.col("b").alias("cv")), "density-edges")
+        left = stored(left.select("e._s", "e.u", "e.v", "e.w", F.col("a").alias("cu"), F.col("b").alias("cv")), f"{under}/edges")
     if not taken:
         return left.select("_s", "u", "v", "w")
     out = taken[0]
@@ -233,16 +235,16 @@ def _merge(level: int, min_size: int):
     return run
 
 
-def _condensed(points: DataFrame, forest: DataFrame, min_size: int, edges_at_once: int, single: bool) -> tuple[DataFrame, DataFrame]:
+def _condensed(points: DataFrame, forest: DataFrame, min_size: int, edges_at_once: int, single: bool, under: str) -> tuple[DataFrame, DataFrame]:
     """(places, tree): the cluster that each point first lies in, and (_s, cluster, parent, chosen, stability).
 
     Edges are dealt by ranges of weight; the slices' first ranges are merged together, then their second ones, so what a
     task holds is a range's edges and the components that they touch, however large a slice is.
     """
     loops = points.filter(F.col("copies") >= min_size).select("_s", "u", F.col("u").alias("v"), F.col("core").alias("w"))
-    every = stored(forest.select("_s", "u", "v", "w").union(loops), "density-forest")
+    every = stored(forest.select("_s", "u", "v", "w").union(loops), f"{under}/forest")
     ranges = max(1, -(-every.count() // edges_at_once))
-    dealt = stored(every.repartitionByRange(ranges, "_s", "w").withColumn("_r", F.spark_partition_id()), "density-levels")
+    dealt = stored(every.repartitionByRange(ranges, "_s", "w").withColumn("_r", F.spark_partition_id()), f"{under}/levels")
     first = dealt.groupBy("_s").agg(F.min("_r").alias("_first"))
     dealt = dealt.join(first, "_s").withColumn("level", F.col("_r") - F.col("_first")).drop("_r", "_first")
     levels = dealt.agg(F.max("level")).first()[0]
@@ -256,26 +258,26 @@ def _condensed(points: DataFrame, forest: DataFrame, min_size: int, edges_at_onc
         now = now.select("_s", "w", "cu", "cv")
         touched = now.select(F.col("cu").alias("comp")).union(now.select(F.col("cv").alias("comp"))).distinct()
         held = states.join(touched, "comp", "left_semi").select("_s", "comp", "size", "cluster", "acc", "best")
-        merged = stored(now.groupBy("_s").cogroup(held.groupBy("_s")).applyInPandas(_merge(level, min_size), _MERGED), "density-merged")
+        merged = stored(now.groupBy("_s").cogroup(held.groupBy("_s")).applyInPandas(_merge(level, min_size), _MERGED), f"{under}/merged")
         moves = merged.filter("kind = 0").select("comp", "to", F.col("cluster").alias("_joined"))
         places = places.join(moves, "comp", "left").select("_s", "u", F.coalesce("to", "comp").alias("comp"), F.coalesce("cluster", "_joined").alias("cluster"))
         after = merged.filter("kind = 1").select("_s", "comp", "size", "cluster", "acc", "best")
         states = states.join(moves, "comp", "left_anti").select(*after.columns).union(after)
         if levels:
-            places, states = stored(places, "density-places"), stored(states, "density-states")
+            places, states = stored(places, f"{under}/places"), stored(states, f"{under}/states")
         ends = merged.filter("kind = 2").select("_s", "cluster", "parent", "chosen", F.col("acc").alias("stability"))
         closed = ends if closed is None else closed.union(ends)
     last = states.filter("cluster is not null").select("_s", "cluster", F.lit(None).cast("bigint").alias("parent"), (F.lit(single) & (F.col("acc") >= F.col("best"))).alias("chosen"), F.col("acc").alias("stability"))
     return places, last if closed is None else closed.union(last)
 
 
-def _tops(tree: DataFrame) -> DataFrame:
+def _tops(tree: DataFrame, under: str) -> DataFrame:
     """(_s, cluster, top): the chosen cluster highest above each cluster, itself included, by doubling pointers."""
     own = F.when(F.col("chosen"), F.col("cluster"))
-    at = stored(tree.select("_s", "cluster", F.col("parent").alias("up"), own.alias("top")), "density-tree")
+    at = stored(tree.select("_s", "cluster", F.col("parent").alias("up"), own.alias("top")), f"{under}/tree")
     while not at.filter("up is not null").isEmpty():
         above = at.select("_s", F.col("cluster").alias("up"), F.col("up").alias("_up"), F.col("top").alias("_top"))
-        at = stored(at.join(above, ["_s", "up"], "left").select("_s", "cluster", F.col("_up").alias("up"), F.coalesce("_top", "top").alias("top")), "density-tree")
+        at = stored(at.join(above, ["_s", "up"], "left").select("_s", "cluster", F.col("_up").alias("up"), F.coalesce("_top", "top").alias("top")), f"{under}/tree")
     return at.select("_s", "cluster", "top")
 
 
@@ -305,21 +307,23 @@ def density_clusters(
     """
     if min_size < 2:
         raise ValueError("min_size must be at least 2")
-    rows = stored(_unit(vectors, slice_cols, id_col, vector_col), "density-rows")
+    under = f"density-{uuid.uuid4().hex}"  # the folder of this call's tables, which goes when its result is written
+    rows = stored(_unit(vectors, slice_cols, id_col, vector_col), f"{under}/rows")
     usable = rows.filter(F.col("_dim") > 0)
     dims = usable.groupBy("_s", "_dim").agg(F.count(F.lit(1)).alias("_n")).groupBy("_s").agg(F.max(F.struct("_n", (-F.col("_dim")).alias("d"))).alias("m"))
     dims = dims.filter("m._n >= 3").select("_s", (-F.col("m.d")).alias("_dim"))
     points = usable.join(dims, ["_s", "_dim"]).groupBy("_s", "_dim", "_vec").agg(F.count(F.lit(1)).alias("copies"))
-    points = stored(points.withColumn("u", F.monotonically_increasing_id()), "density-points")
+    points = stored(points.withColumn("u", F.monotonically_increasing_id()), f"{under}/points")
     sizes = points.groupBy("_s").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     dealt = points.select("_s", "u", "copies", "_vec").join(sizes, "_s").withColumn("block", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
-    dealt = stored(_with_core(dealt, samples or min_size), "density-core")
-    trees = stored(_forest_of_pairs(dealt), "density-pairs")
-    forest = trees.filter("blocks = 1").select("_s", "u", "v", "w").union(spanning_forest(trees.filter("blocks > 1").drop("blocks")))
-    places, tree = _condensed(dealt.drop("_vec"), forest, min_size, edges_at_once, single)
-    tops = places.join(_tops(tree), ["_s", "cluster"]).select("u", "top")
+    dealt = stored(_with_core(dealt, samples or min_size), f"{under}/core")
+    trees = stored(_forest_of_pairs(dealt), f"{under}/pairs")
+    forest = trees.filter("blocks = 1").select("_s", "u", "v", "w").union(spanning_forest(trees.filter("blocks > 1").drop("blocks"), under))
+    places, tree = _condensed(dealt.drop("_vec"), forest, min_size, edges_at_once, single, under)
+    tops = places.join(_tops(tree, under), ["_s", "cluster"]).select("u", "top")
     found = rows.join(points.select("_s", "_vec", "u"), ["_s", "_vec"], "left").join(tops, "u", "left")
     found = stored(found.select(*slice_cols, id_col, "_s", "top"), "density-found")
+    drop_path(vectors.sparkSession, f"{shared_dir(vectors.sparkSession)}/{under}")
     order = found.filter("top is not null").groupBy("_s", "top").agg(F.count(F.lit(1)).alias("_n"), F.min(id_col).alias("_least"))
     number = order.select("_s", "top", (F.row_number().over(Window.partitionBy("_s").orderBy(F.col("_n").desc(), "_least", "top")) - 1).cast("int").alias("cluster_id"))
     return found.join(number, ["_s", "top"], "left").select(*slice_cols, id_col, F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"))
