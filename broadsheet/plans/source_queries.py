@@ -30,13 +30,18 @@ def scratch(spark: SparkSession, what: str) -> str:
 # ---------------------------------------------------------------- feeds
 
 
+def _part(event_id: Column) -> Column:
+    """The file of a source that an event is in: sources publish files of bounded size, and more of them as events come."""
+    return F.floor(event_id / 100_000).alias("part")
+
+
 def _feeds(spark: SparkSession, d: str) -> DataFrame:
-    """Feeds of the events, one for each user: dates in two forms or unreadable, categories as terms, texts or absent."""
+    """Feeds of the events, one for each user and 100,000 events: dates in two forms or unreadable, categories as terms, texts or absent."""
     e, i = tables.table(spark, d, "events"), F.col("event_id")
     when = F.when(i % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss+03:00")).when(i % 3 == 1, F.date_format("ts", "dd MMM yyyy HH:mm:ss +0000")).otherwise("soon")
     tag = F.when(i % 4 == 0, F.concat(F.lit('<category term="'), "event_type", F.lit('"/><category>second</category>'))).when(i % 4 == 1, F.concat(F.lit("<category>"), "event_type", F.lit("</category>"))).otherwise("")
     item = F.concat(F.lit("<item><title>t"), i.cast("string"), F.lit("</title><pubDate>"), when, F.lit("</pubDate>"), tag, F.lit("</item>"))
-    xml = e.groupBy((F.col("user_id") % 50).alias("f")).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("xml"))
+    xml = e.groupBy((F.col("user_id") % 50).alias("f"), _part(i)).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("xml"))
     files = xml.select(F.concat(F.lit("src"), "f").alias("source_name"), F.lit("rss").alias("source_type"), "xml")
     return feeds.items(files, NOW)
 
@@ -58,7 +63,7 @@ def _sitemaps(spark: SparkSession, d: str) -> DataFrame:
     loc = F.when(i % 11 != 0, part("loc", F.concat(F.lit("https://news.example/"), i.cast("string")))).otherwise("")
     title = F.when(i % 7 != 0, part("n:title", F.col("event_type"))).otherwise("")
     body = F.concat(F.lit("<url>"), loc, F.lit("<n:news>"), title, part("n:publication_date", F.date_format("ts", "yyyy-MM-dd")), part("n:keywords", (i % 5).cast("string")), F.lit("</n:news></url>"))
-    xml = e.groupBy((F.col("user_id") % 20).alias("f")).agg(F.concat(F.lit('<urlset xmlns:n="http://news">'), F.array_join(F.collect_list(body), ""), F.lit("</urlset>")).alias("xml"))
+    xml = e.groupBy((F.col("user_id") % 20).alias("f"), _part(i)).agg(F.concat(F.lit('<urlset xmlns:n="http://news">'), F.array_join(F.collect_list(body), ""), F.lit("</urlset>")).alias("xml"))
     broken = spark.createDataFrame([("broken", "sitemap", "<urlset><url>")], "source_name string, source_type string, xml string")
     return xml.select(F.concat(F.lit("map"), "f").alias("source_name"), F.lit("sitemap").alias("source_type"), "xml").unionByName(broken)
 
@@ -71,7 +76,7 @@ def src05_sitemap_items(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT 'map' || (user_id % 20) AS source_name, true AS parse_ok, CAST(count(*) AS INTEGER) AS item_count FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 GROUP BY 1 UNION ALL SELECT 'broken', false, 0")
 def src02_feed_health(spark: SparkSession, d: str) -> DataFrame:
     files = _sitemaps(spark, d).withColumn("discovery_url", F.lit("https://x.example"))
-    return feeds.health(files, NOW).select("source_name", "parse_ok", "item_count")
+    return feeds.health(files, NOW).groupBy("source_name").agg(F.bool_and("parse_ok").alias("parse_ok"), F.sum("item_count").cast("int").alias("item_count"))
 
 
 _TITLE = r"""trim(regexp_replace(string_split(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '|')[1], '[ \t\r\n]+', ' ', 'g'))"""

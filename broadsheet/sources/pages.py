@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from html.parser import HTMLParser
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,11 +13,14 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.text import WHITE_SPACE, clean
 from broadsheet.functions.urls import normal_url
+from broadsheet.sources.shared import small_batches
 
 #: Fixed values of the article parser.
 NOISE = ("script", "style", "noscript", "svg", "iframe", "form", "header", "footer", "nav", "aside")
 LEAST_PARAGRAPH, LEAST_ARTICLE = 30, 200
 BOILERPLATE = ("abone ol", "son dakika", "reklam")
+#: Pages whose articles are sent at once.
+PAGES_AT_ONCE = 200
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
@@ -150,15 +154,21 @@ def parse_article(markup: str | None) -> tuple:
 ARTICLE = "title string, summary string, published_date string, article_text string, cleaned_article_text string, parse_status string"
 
 
+def _few_pages(batch: pa.RecordBatch):
+    """The batch by PAGES_AT_ONCE rows, so that articles of a few pages are held and not of all."""
+    return (batch.slice(i, PAGES_AT_ONCE) for i in range(0, batch.num_rows, PAGES_AT_ONCE))
+
+
 def parsed_articles(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """One row a page: id, and title, summary, date, text and status of its article. Nothing is shuffled."""
     names = [x.split()[0] for x in ARTICLE.split(", ")]
 
     def run(batches):
-        for b in batches:
-            rows = [parse_article(x) for x in b.column(1).to_pylist()]
+        for b in chain.from_iterable(map(_few_pages, batches)):
+            rows = [parse_article(x.as_py()) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in rows], pa.string()) for i in range(len(names))]], names=[id_col, *names])
 
+    small_batches(pages.sparkSession)
     kind = pages.schema[id_col].dataType.simpleString()
     return pages.select(id_col, html_col).mapInArrow(run, f"`{id_col}` {kind}, {ARTICLE}")
 

@@ -29,6 +29,14 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Bound the bytes of an Arrow batch, unless the session already asks for less: pages and files may be of any size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None) or ""
+    if not now.isdigit() or not 0 < int(now) <= size:
+        spark.conf.set(key, str(size))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that no later plan reads."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -113,3 +113,33 @@ def test_noise_that_is_never_closed_ends_with_the_element_around_it():
         assert pages.parse_article(f"<article><p>{long}</p><{noise}><div><p>{long} noise</p></div></{noise}><p>Second {long}</p></article>")[3].count("Second") == 1
     assert pages.parse_article(f"<body><nav><p>{long}</p>")[-1] == "empty"
     assert pages.parse_article("</div></p></nav>" * 1000 + f"<p>{long}</p>")[-1] == "parsed"
+
+
+def test_a_large_file_is_read_an_element_at_a_time():
+    import tracemalloc
+
+    item = "<item><title>t%d</title><link>https://a.example/%d</link><category>c</category></item>"
+    xml = "<rss><channel>" + "".join(item % (i, i) for i in range(30_000)) + "</channel></rss>"
+    tracemalloc.start()
+    assert sum(1 for _ in feeds.feed_items(xml, "s", "n")) == 30_000
+    assert tracemalloc.get_traced_memory()[1] < 4_000_000  # the tree of all items takes 20 times that
+    tracemalloc.stop()
+
+
+def test_items_and_health_of_files_read_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "CHARS_AT_ONCE", 7)
+    inner = "<item><title>a</title><item><title>b</title></item></item>"
+    files = [("r", "rss", "u", f"<rss><item><title>x</title><link>l</link></item>tail{inner}</rss>"), ("cut", "rss", "u", "<rss><item><title>x</title></item>"), ("none", "rss", "u", None), ("odd", "atom", "u", "<a/>")]
+    df = spark.createDataFrame(files, "source_name string, source_type string, discovery_url string, xml string")
+    assert sorted((r.source_name, r.title) for r in feeds.items(df, "n").collect()) == [("r", "a"), ("r", "b"), ("r", "x")]
+    assert [x[0] for x in feeds.feed_items(files[0][3], "s", "n")] == ["x", "a", "b"]
+    got = {r.source_name: (r.parse_ok, r.item_count, r.unique_url_count, r.latest_item_date) for r in feeds.health(df, "n").collect()}
+    assert got == {"r": (True, 3, 1, "n"), "cut": (False, 0, 0, None), "none": (False, 0, 0, None), "odd": (False, 0, 0, None)}
+
+
+def test_pages_are_parsed_a_few_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(pages, "PAGES_AT_ONCE", 3)
+    b = pa.RecordBatch.from_arrays([pa.array(range(7))], names=["page_id"])
+    assert [x.column(0).to_pylist() for x in pages._few_pages(b)] == [[0, 1, 2], [3, 4, 5], [6]]
