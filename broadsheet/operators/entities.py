@@ -140,8 +140,9 @@ def default_mentions(articles: DataFrame, rule: str = r"^\p{Lu}\p{Ll}{3,}$") ->
     from broadsheet.functions.text import pieces
 
     rows = articles.select("id", pieces(F.col("text")).alias("p"))
-    starts = F.aggregate("p", F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + F.length(x))))
-    short = rows.filter(F.size("p") <= 2000).select("id", F.explode(F.arrays_zip("p", starts.alias("at"))).alias("z")).select("id", F.col("z.p").alias("entity_text"), F.col("z.at").alias("position"))
+    # only pieces that fit leave the array; where positions are not asked for, the array goes no further either
+    fits = F.filter(F.transform("p", lambda x, i: F.when(x.rlike(rule), F.struct(x.alias("x"), i.alias("i")))), lambda z: z.isNotNull())
+    short = rows.filter(F.size("p") <= 2000).select("id", "p", F.explode(fits).alias("z")).select("id", F.col("z.x").alias("entity_text"), F.length(F.array_join(F.slice("p", F.lit(1), F.col("z.i")), "")).alias("position"))
     # long texts: the sum runs over rows, because growing an array is quadratic in its length
     from pyspark.sql import Window
 

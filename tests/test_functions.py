@@ -97,3 +97,16 @@ def test_cosine(spark):
     arr = lambda *x: F.array(*map(F.lit, x))
     r = one(spark, vectors.cosine(arr(1.0, 0.0), arr(1.0, 1.0)).alias("c"), vectors.cosine(arr(0.0), arr(1.0)).alias("z"))
     assert r.c == pytest.approx(1 / math.sqrt(2)) and r.z is None
+
+
+def test_positions_of_mentions_do_not_grow_an_array(spark):
+    import re
+
+    from broadsheet.operators.entities import default_mentions
+
+    texts = ["Der Hund und Berlin, 3 Äpfel: Paris", "Zug " * 3000 + "Ende Wien", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted((r.id, r.position, r.entity_text) for r in default_mentions(df).collect())
+    assert got == [(i, m.start(), m[0]) for i, t in enumerate(texts) for m in re.finditer(r"\w+", t or "") if re.fullmatch(r"[A-ZÄÖÜ][a-zäöüß]{3,}", m[0])]
+    plan = default_mentions(df).select("id", "entity_text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and "array_join" not in plan and "Window" not in plan
