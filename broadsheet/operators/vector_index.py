@@ -19,6 +19,8 @@ CELLS, SAMPLE, ROWS = 4096, 128, 32_768
 TOGETHER = 256
 #: Share of the LEARNT_K nearest rows of LEARN rows that lie in the cells which a query looks into: it sets their number.
 RECALL, LEARN, LEARNT_K = 0.95, 100, 10
+#: Copies of queries that a task sends at once.
+SENT = 4_096
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str, metric: str) -> DataFrame:
@@ -139,9 +141,12 @@ class VectorIndex:
                 if not b.num_rows:
                     continue
                 q = np.asarray(b.column(1).flatten()).reshape(b.num_rows, -1)
-                found = near(q, probes)
-                take = pa.array(np.repeat(np.arange(len(q)), found.shape[1]))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(cells[found.ravel()].astype(np.int32))], names=["id", "vec", "cell"])
+                # a copy for each cell: no more than SENT at once, however many queries and cells there are
+                step = max(1, SENT // max(1, min(probes, len(cells))))
+                for i in range(0, len(q), step):
+                    found = near(q[i : i + step], probes)
+                    take = pa.array(i + np.repeat(np.arange(len(found)), found.shape[1]))
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(cells[found.ravel()].astype(np.int32))], names=["id", "vec", "cell"])
 
         sent = asked.mapInArrow(probe, "id bigint, vec array<double>, cell int")
         sizes = self.rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / ROWS).cast("int").alias("parts"))

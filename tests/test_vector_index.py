@@ -81,3 +81,13 @@ def test_edges(spark, table, tmp_path):
     assert index.nearest([0.0] * 24).count() == 0 and index.nearest([1.0]).count() == 0 and index.search(q.limit(0)).count() == 0
     with pytest.raises(ValueError):
         VectorIndex.build(table, f"file://{tmp_path}/m", metric="euclid")
+
+
+def test_copies_of_queries_are_sent_in_bounded_batches(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([r for r in vectors(300) if r[0] is not None and r[0] < 300], "vec_id long, embedding array<double>")
+    index = VectorIndex.build(rows, str(tmp_path / "index"), metric="dot", recall=1.0)
+    asked = rows.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    plain = lambda: sorted((r.query_id, r["rank"], r.id) for r in index.search(asked, 3, probes=len(index.cells), others=True).collect())
+    at_once = plain()
+    monkeypatch.setattr(vector_index, "SENT", 1)  # a query at a time
+    assert plain() == at_once and len(at_once) == 90
