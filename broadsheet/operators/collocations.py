@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from broadsheet.functions.association import llr, pmi
 
 WINDOW, LEAST_LETTERS, LEAST_COUNT, TOP = 10, 3, 2, 20
-WORD = r"[\p{L}\p{N}_]+"
-#: A gap with a sentence's end in it.
-SENTENCE_GAP = r"[^\p{L}\p{N}_]*[.!?]+\s[^\p{L}\p{N}_]*"
+#: A letter of a word; what \p has in ASCII stands first, as it is looked up at once.
+LETTER = r"[a-zA-Z0-9_\p{L}\p{N}]"
+WORD = LETTER + "+"
+#: Where a sentence ends.
+SENTENCE_END = r"[.!?]\s"
 #: Default rule for a mention: a capitalized word of at least four letters.
 MENTION = r"^\p{Lu}\p{Ll}{3,}$"
 #: Frames in their order.
@@ -19,9 +21,10 @@ DAY = ["country_code", "collected_date"]
 
 
 def sentences(articles: DataFrame) -> DataFrame:
-    """One row a sentence, with its words in order as an array."""
-    split = articles.select("id", *DAY, F.posexplode(F.split("text", SENTENCE_GAP)).alias("sentence", "s"))
-    return split.select("id", *DAY, "sentence", F.regexp_extract_all("s", F.lit(WORD), F.lit(0)).alias("words")).filter("size(words) > 0")
+    """One row a sentence that has words, with them in order as an array. Sentences of a text are numbered in order, with gaps."""
+    split = articles.select("id", *DAY, F.posexplode(F.split("text", SENTENCE_END)).alias("sentence", "s"))
+    # a filter on the words' number would go below them, and extract them twice
+    return split.filter(F.col("s").rlike(LETTER)).select("id", *DAY, "sentence", F.regexp_extract_all("s", F.lit(WORD), F.lit(0)).alias("words"))
 
 
 def token_windows(articles: DataFrame, window: int = WINDOW, least: int = LEAST_LETTERS, mention: str = MENTION) -> DataFrame:

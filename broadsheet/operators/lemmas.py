@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ TELLING = {
 }
 #: Letters of a word's end that the tagger counts, features that are kept a language, and what each count starts from.
 FEATURE_LETTERS, FEATURES, SMOOTH = 3, 20_000, 0.1
+#: Words that a task remembers a language, words that it tags at once, and from how many sentences on a step takes a tag at a time.
+KNOWN, WORDS, MANY = 100_000, 1 << 18, 64
 #: Parts of speech that collocates may have.
 KEPT = ("NOUN", "VERB", "ADJ", "PROPN")
 
@@ -148,53 +151,118 @@ def viterbi(emissions: np.ndarray, lengths: np.ndarray, first: np.ndarray, moves
     start, size = (np.cumsum(lengths) - lengths)[order], lengths[order]
     live = int((size > 0).sum())
     start, size = start[:live], size[:live]
-    back = np.zeros(emissions.shape, np.int8)
-    score = first + emissions[start]
+    kinds = len(moves)
+    back = np.zeros((kinds, len(emissions)), np.int8)
+    score = np.ascontiguousarray((first + emissions[start]).T)  # a row a tag, so that operations run along the sentences
     last = np.empty(live, np.int8)
     for t in range(1, int(size[0]) + 1):
         now = int(np.searchsorted(-size, -t, side="left"))  # sentences of more than t words
-        last[now : len(score)] = score[now:].argmax(axis=1)
+        last[now : score.shape[1]] = score[:, now:].argmax(axis=0)
         if now == 0:
             break
-        ways = score[:now, :, None] + moves
-        best = ways.argmax(axis=1)
-        back[start[:now] + t] = best
-        score = np.take_along_axis(ways, best[:, None, :], axis=1)[:, 0] + emissions[start[:now] + t]
+        if now < MANY:
+            ways = score[:, None, :now] + moves[:, :, None]
+            best, top = ways.argmax(axis=0), ways.max(axis=0)
+        else:  # the same sums, a tag at a time
+            top, best = score[0, :now] + moves[0][:, None], np.zeros((kinds, now), np.int8)
+            for i in range(1, kinds):
+                way = score[i, :now] + moves[i][:, None]
+                np.copyto(best, i, where=way > top)
+                np.maximum(top, way, out=top)
+        back[:, start[:now] + t] = best
+        score = top + emissions[start[:now] + t].T
     tag = last
     out[start + size - 1] = tag
     for t in range(int(size[0]) - 1, 0, -1):
         now = int(np.searchsorted(-size, -t, side="left"))
         tag = tag.copy()
-        tag[:now] = back[start[:now] + t, tag[:now]]
+        tag[:now] = back[tag[:now], start[:now] + t]
         out[start[:now] + t - 1] = tag[:now]
     return out
 
 
-def _by_language(b: pa.RecordBatch, words: int) -> Iterable[tuple[str, np.ndarray, list[list[str]]]]:
-    languages = np.array([x or "" for x in b.column(b.schema.get_field_index("language")).to_pylist()], object)
-    listed = b.column(words).to_pylist()
-    for k in sorted(set(languages)):
-        rows = np.flatnonzero(languages == k)
-        yield k, rows, [listed[i] for i in rows]
-
+class Lexicon:
+    """What a task knows of the different words that it has met: tags by rules (or rows of emissions, with a model) and features
+    of a word that begins its sentence and of one that does not, and lemmas. It forgets a language's words beyond KNOWN."""
+
+    def __init__(self, model: TagModel | None = None, endings: dict[str, dict[str, str]] | None = None):
+        self.model, self.none = model, SuffixTrie({})
+        self.tries = {k: SuffixTrie(v) for k, v in (ENDINGS if endings is None else endings).items()}
+        self.known: dict[str, dict[str, tuple]] = {}
+        self.tables: dict[str, tuple[dict[str, int], np.ndarray]] = {}
+
+    def _table(self, language: str) -> tuple[dict[str, int], np.ndarray]:
+        """Rows by feature, and log probabilities: of fixed tags, of features, of unknown ones in the last row."""
+        if language not in self.tables:
+            fixed = np.full((len(TAGS), len(TAGS)), -1e3)
+            np.fill_diagonal(fixed, 0.0)
+            features = self.model.features.get(language, {})
+            self.tables[language] = {f: len(TAGS) + i for i, f in enumerate(features)}, np.array([*fixed, *features.values(), self.model.unknown])
+        return self.tables[language]
+
+    def entries(self, language: str, words: list[str]) -> list[tuple]:
+        """(code, code, feature, feature, lemma) of words: the first of two at a sentence's beginning, the second elsewhere."""
+        known = self.known.setdefault(language, {})
+        if len(known) > KNOWN:
+            known.clear()
+        closed, lemma = _CLOSED.get(language, {}), self.tries.get(language, self.none).lemma
+        rows, table = self._table(language) if self.model else ({}, ())
+        unknown, out = len(table) - 1, []
+        for w in words:
+            e = known.get(w)
+            if e is None:
+                low, f = w.lower(), feature(w, 0)
+                g = feature(w, 1) if w[0].isupper() else f  # else neither feature nor tag depends on the place
+                x = y = closed.get(low)
+                if x is None:
+                    x = rows.get(f, unknown) if self.model else seed(w, 0, language)
+                    y = x if g is f else rows.get(g, unknown) if self.model else seed(w, 1, language)
+                e = known[w] = x, y, f, g, lemma(low)
+            out.append(e)
+        return out
 
-def _emissions(model: TagModel, language: str, lists: list[list[str]]) -> np.ndarray:
-    closed, known, unknown = _CLOSED.get(language, {}), model.features.get(language, {}), model.unknown
-    fixed = np.full((len(TAGS), len(TAGS)), -1e3)
-    np.fill_diagonal(fixed, 0.0)
-    rows = []
-    for words in lists:
-        for i, w in enumerate(words):
-            tag = closed.get(w.lower())
-            rows.append(fixed[tag] if tag is not None else known.get(feature(w, i), unknown))
-    return np.array(rows).reshape(-1, len(TAGS))
+    def tags(self, language: str, piece: Piece, entries: list[tuple]) -> np.ndarray:
+        """Tags of a piece's words: by the rules where there is no model."""
+        codes = np.fromiter((c for e in entries for c in e[:2]), np.int32, 2 * len(entries))[piece.which]
+        if self.model is None:
+            return codes
+        plain = np.full(len(TAGS), -np.log(len(TAGS)))
+        first, moves = self.model.first.get(language, plain), self.model.moves.get(language, np.tile(plain, (len(TAGS), 1)))
+        return viterbi(self._table(language)[1][codes], piece.lengths, first, moves)
 
 
-def tags_of(model: TagModel, language: str, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """(tags of all words, words of each sentence) of sentences of one language."""
-    lengths = np.array([len(x) for x in lists], np.int64)
-    plain = np.full(len(TAGS), -np.log(len(TAGS)))
-    return viterbi(_emissions(model, language, lists), lengths, model.first.get(language, plain), model.moves.get(language, np.tile(plain, (len(TAGS), 1)))), lengths
+@dataclass
+class Piece:
+    """Sentences of one language: their rows in the batch, how many words they have, the different words in them, and for each
+    word twice its place among those, plus one where it does not begin its sentence."""
+
+    rows: np.ndarray
+    lengths: np.ndarray
+    words: list[str]
+    which: np.ndarray
+
+
+def pieces(b: pa.RecordBatch) -> Iterable[tuple[str, Piece]]:
+    """(language, piece) of a batch with columns language and words, about WORDS words at a time, or one sentence."""
+    names = b.schema.names
+    spoken, listed = b.column(names.index("language")).dictionary_encode(), b.column(names.index("words"))
+    lengths = pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = pc.fill_null(spoken.indices, -1).to_numpy(zero_copy_only=False)
+    for code in np.unique(codes):
+        mine = np.flatnonzero(codes == code)
+        part = (np.cumsum(lengths[mine]) - 1) // WORDS
+        for rows in np.split(mine, np.flatnonzero(np.diff(part)) + 1):
+            words = listed.take(pa.array(rows)).flatten().dictionary_encode()
+            which = 2 * words.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            n = lengths[rows]
+            which[(np.cumsum(n) - n)[n > 0]] -= 1
+            yield (spoken.dictionary[int(code)].as_py() if code >= 0 else ""), Piece(rows, n, words.dictionary.to_pylist(), which)
+
+
+def _summed(counts: dict[tuple[str, str, int], int], names: list[str]) -> pa.RecordBatch:
+    """Counts by (language, text, tag) as rows."""
+    keys = list(counts)
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in keys], pa.string()), pa.array([x[1] for x in keys], pa.string()), pa.array([x[2] for x in keys], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=names)
 
 
 def fit_tags(tokens: DataFrame, rounds: int = 1, features: int = FEATURES) -> TagModel:
@@ -211,18 +279,23 @@ def fit_tags(tokens: DataFrame, rounds: int = 1, features: int = FEATURES) -> Ta
 
         def run(batches, before=before):
             counts: dict[tuple[str, str, int], int] = {}
+            lexicon, kinds = Lexicon(before, {}), len(TAGS)
             for b in batches:
-                for k, _, lists in _by_language(b, 1):
-                    got = None if before is None else iter(tags_of(before, k, lists)[0].tolist())
-                    for words in lists:
-                        last = -1
-                        for i, w in enumerate(words):
-                            tag = seed(w, i, k) if got is None else next(got)
-                            for key in ((k, f"\t{last}", tag), (k, feature(w, i), tag)):
-                                counts[key] = counts.get(key, 0) + 1
-                            last = tag
-            keys = list(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in keys], pa.string()), pa.array([x[1] for x in keys], pa.string()), pa.array([x[2] for x in keys], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["language", "what", "tag", "n"])
+                for k, piece in pieces(b):
+                    entries = lexicon.entries(k, piece.words)
+                    tags = lexicon.tags(k, piece, entries).astype(np.int64)
+                    n = np.bincount(piece.which * kinds + tags)
+                    for at in np.flatnonzero(n).tolist():
+                        word, inside = divmod(at // kinds, 2)
+                        key = k, entries[word][2 + inside], at % kinds
+                        counts[key] = counts.get(key, 0) + int(n[at])
+                    last = np.append(-1, tags[:-1]) if len(tags) else tags
+                    last[piece.which % 2 == 0] = -1
+                    n = np.bincount((last + 1) * kinds + tags)
+                    for at in np.flatnonzero(n).tolist():
+                        key = k, f"\t{at // kinds - 1}", at % kinds
+                        counts[key] = counts.get(key, 0) + int(n[at])
+            yield _summed(counts, ["language", "what", "tag", "n"])
 
         summed = tokens.select("language", "words").mapInArrow(run, "language string, what string, tag int, n bigint").groupBy("language", "what", "tag").agg(F.sum("n").alias("n"))
         grouped = summed.groupBy("language", "what").agg(F.sum("n").alias("total"), F.collect_list(F.struct("tag", "n")).alias("by"))  # at most one entry a tag
@@ -249,33 +322,48 @@ def fit_tags(tokens: DataFrame, rounds: int = 1, features: int = FEATURES) -> Ta
 def tagged(tokens: DataFrame, model: TagModel, endings: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """tokens (id, day, sentence, language, words) with lemmas and tags, arrays beside words. One pass, nothing shuffled."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema.fields)
-    at = tokens.columns.index("words")
-    tables = ENDINGS if endings is None else endings
+    kind = pa.list_(pa.string())
 
     def run(batches):
-        tries = {k: SuffixTrie(v) for k, v in tables.items()}
-        none, known = SuffixTrie({}), {}
+        lexicon, names = Lexicon(model, endings), pa.array(TAGS, pa.string())
         for b in batches:
-            lemmas, tags = [None] * b.num_rows, [None] * b.num_rows
-            for k, rows, lists in _by_language(b, at):
-                found, lengths = tags_of(model, k, lists)
-                ends = np.cumsum(lengths)
-                for i, words, end in zip(rows.tolist(), lists, ends.tolist(), strict=True):
-                    out = []
-                    for w in words:
-                        lemma = known.get((k, w))
-                        if lemma is None:
-                            if len(known) > 200_000:
-                                known.clear()
-                            lemma = known[k, w] = tries.get(k, none).lemma(w.lower())
-                        out.append(lemma)
-                    lemmas[i], tags[i] = out, [TAGS[t] for t in found[end - len(words) : end]]
-            kind = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lemmas, kind), pa.array(tags, kind)], names=[*b.schema.names, "lemmas", "tags"])
+            rows, parts = [], []
+            for k, piece in pieces(b):
+                entries = lexicon.entries(k, piece.words)
+                offsets = pa.array(np.append(0, np.cumsum(piece.lengths)), pa.int32())
+                lemmas = pa.array([e[-1] for e in entries], pa.string()).take(pa.array(piece.which // 2))
+                rows.append(piece.rows)
+                parts.append([pa.ListArray.from_arrays(offsets, x) for x in (lemmas, names.take(pa.array(lexicon.tags(k, piece, entries))))])
+            back = pa.array(np.argsort(np.concatenate(rows), kind="stable")) if rows else None
+            both = [pa.concat_arrays(x).take(back) for x in zip(*parts, strict=True)] if rows else [pa.array([], kind)] * 2
+            yield pa.RecordBatch.from_arrays([*b.columns, *both], names=[*b.schema.names, "lemmas", "tags"])
 
     return tokens.mapInArrow(run, f"{schema}, lemmas array<string>, tags array<string>")
 
 
+def tag_counts(tokens: DataFrame, model: TagModel, endings: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """(language, lemma, pos, n): how often tagged() gives a lemma and tag. A task adds up the pairs that it meets, up to KNOWN at
+    a time, so neither words nor tags leave it one by one."""
+
+    def run(batches):
+        lexicon, counts, kinds = Lexicon(model, endings), {}, len(TAGS)
+        for b in batches:
+            for k, piece in pieces(b):
+                entries = lexicon.entries(k, piece.words)
+                n = np.bincount(piece.which // 2 * kinds + lexicon.tags(k, piece, entries))
+                for at in np.flatnonzero(n).tolist():
+                    key = k, entries[at // kinds][-1], at % kinds
+                    counts[key] = counts.get(key, 0) + int(n[at])
+            if len(counts) > KNOWN:
+                yield _summed(counts, ["language", "lemma", "tag", "n"])
+                counts = {}
+        yield _summed(counts, ["language", "lemma", "tag", "n"])
+
+    rows = tokens.select("language", "words").mapInArrow(run, "language string, lemma string, tag int, n bigint")
+    named = F.element_at(F.array(*map(F.lit, TAGS)), F.col("tag") + 1)
+    return rows.groupBy("language", "lemma", named.alias("pos")).agg(F.sum("n").alias("n"))
+
+
 def lemma_windows(tokens: DataFrame, stopwords: list[str] = (), keep: tuple[str, ...] | None = KEPT, window: int = WINDOW, least: int = LEAST_LETTERS, mention: str = MENTION) -> DataFrame:
     """One row for each kept word within `window` words of a mention in its sentence: country, day, canonical, lemma, pos.
 

@@ -93,8 +93,8 @@ def _tagged(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def ml05_tag_counts(spark: SparkSession, d: str) -> DataFrame:
-    both = F.explode(F.arrays_zip("lemmas", "tags")).alias("t")
-    return _tagged(spark, d).select("language", both).groupBy("language", F.col("t.lemmas").alias("lemma"), F.col("t.tags").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
+    tokens = lemmas.tokens_of(tables.articles(spark, d))
+    return lemmas.tag_counts(tokens, lemmas.fit_tags(tokens))
 
 
 @query()

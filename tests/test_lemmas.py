@@ -81,3 +81,37 @@ def test_windows_by_lemma_and_tag(spark, articles):
     assert got["London", "class", "NOUN"] == 20 and ("London", "large", "ADJ") not in got and not any(p in ("DET", "ADP") for *_, p in got)
     assert any(p == "DET" for *_, p in {(r.canonical, r.lemma, r.pos) for r in lemmas.lemma_windows(tokens, keep=None).collect()})
     assert all(r.c11 >= 2 for r in lemmas.lemma_counts(lemmas.lemma_windows(tokens)).collect())
+
+
+def test_tagging_goes_by_different_words(spark, articles, monkeypatch):
+    """Pieces, a step's two ways and a lexicon that forgets give the same rows; counts are those of the rows, and no word leaves
+    a task of its own."""
+    tokens = lemmas.tokens_of(articles)
+    model = lemmas.fit_tags(tokens)
+    rows = sorted(tuple(r) for r in lemmas.tagged(tokens, model).collect())
+    told = Counter((r.language, x, t) for r in lemmas.tagged(tokens, model).collect() for x, t in zip(r.lemmas, r.tags, strict=True))
+    counts = lemmas.tag_counts(tokens, model)
+    assert {(r.language, r.lemma, r.pos): r.n for r in counts.collect()} == told
+    assert "Generate explode(arrays_zip" not in counts._jdf.queryExecution().executedPlan().toString()
+    b = tokens.select("language", "words").toArrow().combine_chunks().to_batches()[0]
+    whole = {}
+    for known, words, many in ((100_000, 1 << 18, 64), (3, 20, 1), (3, 20, 10**6)):
+        for name, value in (("KNOWN", known), ("WORDS", words), ("MANY", many)):
+            monkeypatch.setattr(lemmas, name, value)
+        lexicon, got = lemmas.Lexicon(model), {}
+        for k, p in lemmas.pieces(b):
+            ends = np.cumsum(p.lengths)
+            tags = lexicon.tags(k, p, lexicon.entries(k, p.words)).tolist()
+            got |= {int(i): tags[e - n : e] for i, e, n in zip(p.rows, ends, p.lengths, strict=True)}
+        whole = whole or got
+        assert got == whole and len(got) == b.num_rows
+    assert len(rows) == b.num_rows
+
+
+def test_sentences_extract_words_once(spark):
+    from broadsheet.operators.collocations import sentences
+
+    odd = spark.createDataFrame([(1, "DE", "2024-01-01", "... A b!? c. . déİ_1.e ?\nf"), (2, "DE", "2024-01-01", " . ! "), (3, "DE", "2024-01-01", None)], "id long, country_code string, collected_date string, text string")
+    assert [r.words for r in sentences(odd).orderBy("sentence").collect()] == [["A", "b"], ["c"], ["déİ_1", "e"], ["f"]]
+    plan = sentences(odd)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
