@@ -9,6 +9,7 @@ shingles themselves decide.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -175,6 +176,8 @@ FAR, NEAR = 36, 20
 SHORT, SET_BLOCK = 24, 512
 #: Shingles of the sets that blocks hold; pairs with larger ones are verified one by one. Shingles that are counted together.
 BLOCK_SHINGLES, COUNTED = 10_000, 4096
+#: Keys of sets that are broadcast at once.
+KEYS = 1_000_000
 #: Bytes that one Arrow batch holds where sets of shingles are in it, and shingles that are counted at once.
 SET_BYTES, AT_ONCE = 1 << 20, 8192
 _DRAW = np.random.default_rng(42)
@@ -372,10 +375,18 @@ def block_links(rows: DataFrame, block: int) -> DataFrame:
     return in_buckets(rows, ["t", "k"], "a bigint, b bigint", small, pair, block).filter("a <> b").distinct()
 
 
+def sets_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """One row (fp, hashes) a node `fp`. Only keys travel to the sets, KEYS at a time and one reading of the sets for each, so sets
+    that are not asked for are never shuffled."""
+    nodes = stage(nodes.distinct(), "set-keys")
+    share = max(1, -(-nodes.count() // KEYS))
+    found = [sets.join(F.broadcast(nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(share)) == i)), "fp", "left_semi") for i in range(share)]
+    return reduce(DataFrame.unionByName, found).groupBy("fp").agg(F.first("hashes").alias("hashes"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose sets (fp, hashes) have a Jaccard similarity of at least SIMILARITY."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    sets = stage(sets.join(ends, "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes")), "candidate-sets")
+    sets = stage_only(lambda: sets_of(sets, pairs.select(F.explode(F.array("a", "b")).alias("fp"))), "candidate-sets")
     out = pairs
     for end, other in (("a", "b"), ("b", "a")):
         rows = salted(out, F.col(other))
@@ -407,7 +418,7 @@ def set_links(found: DataFrame) -> DataFrame:
     rows = nodes.select(F.posexplode(F.array(*keys)).alias("t", "k"), F.col("fp").alias("node"), "n", "s0", "s1")
     sets = found.select("fp", "hashes")
     first = rows.withColumn("component", F.col("node"))
-    one = stage_only(lambda: verified(stage(candidates(first, False), "candidates"), sets), "links")
+    one = stage_only(lambda: verified(stage_only(lambda: candidates(first, False), "candidates"), sets), "links")
     big = stage(rows.groupBy("t", "k").count().filter(F.col("count") > SHORT).select("t", "k"), "long-runs")
     if big.isEmpty():
         return one
@@ -416,7 +427,7 @@ def set_links(found: DataFrame) -> DataFrame:
     split = again.groupBy("t", "k").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low <> _high").select("t", "k")
     again = again.join(split, ["t", "k"], "left_semi")
     blocked = again.filter(F.col("n") <= BLOCK_SHINGLES)
-    held = sets.join(blocked.select(F.col("node").alias("fp")).distinct(), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes"))
+    held = sets_of(sets, blocked.select(F.col("node").alias("fp")))
     blocked = blocked.join(held.withColumnRenamed("fp", "node"), "node").select(*blocked.columns, "hashes")
     out = one.unionByName(stage_only(lambda: block_links(blocked, SET_BLOCK), "links"))
     wide = stage_only(lambda: candidates(again.filter(F.col("n") >= SIMILARITY * BLOCK_SHINGLES), True), "candidates")

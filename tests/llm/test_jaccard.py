@@ -88,3 +88,20 @@ def test_shared_counts_equal_intersections():
     x, y = ([np.unique(r.integers(0, 300, k).astype(np.uint64)) for k in r.integers(1, 90, 20)] for _ in range(2))
     for p, q in ((x, y), (x, x), (x[:1], [np.array([10**6], np.uint64)])):
         assert simhash.shared_counts(p, q).tolist() == [[len(np.intersect1d(a, b)) for b in q] for a in p]
+
+
+def test_sets_that_no_pair_asks_for_are_not_shuffled(spark, monkeypatch):
+    sets = spark.createDataFrame([(i // 2, bytes([i // 2])) for i in range(40)], "fp long, hashes binary")
+    nodes = spark.createDataFrame([(i,) for i in (3, 3, 5, 8, 13, 99)], "fp long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for keys in (2, 1_000_000):
+            monkeypatch.setattr(simhash, "KEYS", keys)
+            got = simhash.sets_of(sets, nodes)
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+            assert sorted((r.fp, bytes(r.hashes)) for r in got.collect()) == [(i, bytes([i])) for i in (3, 5, 8, 13)]
+        assert simhash.sets_of(sets, nodes.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
