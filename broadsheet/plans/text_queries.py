@@ -13,7 +13,7 @@ from broadsheet.operators.entities import snippets
 from broadsheet.plans.registry import query
 from broadsheet.sources import tables
 from broadsheet.sources.pages import page_meta
-from broadsheet.sources.shared import fresh_path, stored
+from broadsheet.sources.shared import fresh_path, small_splits, stored
 
 END = "2024-01-30"
 
@@ -50,6 +50,7 @@ def _rounded(stats: DataFrame) -> DataFrame:
 
 
 def _counts(spark: SparkSession, d: str, country: str | None = None) -> DataFrame:
+    small_splits(spark)
     articles = tables.articles(spark, d)
     return collocations.daily_counts(collocations.token_windows(articles if country is None else articles.filter(F.col("country_code") == country)))
 

@@ -37,6 +37,15 @@ def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
         spark.conf.set(key, str(size))
 
 
+def small_splits(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Bound the bytes of files that a task reads, unless the session already asks for less: what a task holds to add up its rows
+    before the shuffle grows with what it reads."""
+    key = "spark.sql.files.maxPartitionBytes"
+    now = spark.conf.get(key)
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now)) > size:
+        spark.conf.set(key, str(size))
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that no later plan reads."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

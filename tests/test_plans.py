@@ -18,3 +18,17 @@ def test_explained_profiles_are_made_once(spark):
 
     files = QUERIES["ml12_explanations"](spark, "/root/testdata/sf0.001").inputFiles()
     assert any("explained-profiles" in f for f in files) and not any("collocation-counts" in f for f in files)
+
+
+def test_counts_are_added_up_over_small_splits(spark):
+    """A task that adds up pairs reads at most 16 MB of files, or less where the session asks for less."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("128m", 16 << 20), ("4m", 4 << 20)):
+            spark.conf.set(key, given)
+            QUERIES["agg12_collocation_counts"](spark, SF)
+            now = spark.conf.get(key)
+            assert (int(now) if now.isdigit() else int(now[:-1]) << 20) == want
+    finally:
+        spark.conf.set(key, before)
