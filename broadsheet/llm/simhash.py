@@ -9,6 +9,7 @@ shingles themselves decide.
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -176,8 +177,8 @@ FAR, NEAR = 36, 20
 SHORT, SET_BLOCK = 24, 512
 #: Shingles of the sets that blocks hold; pairs with larger ones are verified one by one. Shingles that are counted together.
 BLOCK_SHINGLES, COUNTED = 10_000, 4096
-#: Keys of sets that are broadcast at once.
-KEYS = 1_000_000
+#: Keys of sets that are broadcast at once, and links that a task makes a forest of at a time.
+KEYS, THIN = 1_000_000, 1 << 18
 #: Bytes that one Arrow batch holds where sets of shingles are in it, and shingles that are counted at once.
 SET_BYTES, AT_ONCE = 1 << 20, 8192
 _DRAW = np.random.default_rng(42)
@@ -221,8 +222,11 @@ def part_fingerprints(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, fp, n, s0, s1, parts, hashes): the set's key and size, two SimHashes of the set, SimHashes of its parts, the set."""
+def signatures(docs: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    """(columns, fp, n, s0, s1, parts): the set's key and size, two SimHashes of the set, SimHashes of its parts.
+
+    The sets are not among them, as they are longer than the texts: texts_sets makes those that are asked for again.
+    """
     small_batches(docs.sparkSession, SET_BYTES)
 
     def rows_of(batch):
@@ -234,10 +238,9 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             "s0": pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64)),
             "s1": pa.array(np.array([majority(mixed(s)) for s in sets], np.uint64).view(np.int64)),
             "parts": pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * PARTS, pa.int32()), pa.array(parts.ravel().view(np.int64))),
-            "hashes": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
         }
 
-    return over_text(docs, [id_col], text_col, "fp bigint, n bigint, s0 bigint, s1 bigint, parts array<bigint>, hashes binary", rows_of, size=SET_BYTES)
+    return over_text(docs, columns, text_col, "fp bigint, n bigint, s0 bigint, s1 bigint, parts array<bigint>", rows_of, size=SET_BYTES)
 
 
 def _columns(t: pa.Table):
@@ -375,18 +378,65 @@ def block_links(rows: DataFrame, block: int) -> DataFrame:
     return in_buckets(rows, ["t", "k"], "a bigint, b bigint", small, pair, block).filter("a <> b").distinct()
 
 
-def sets_of(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One row (fp, hashes) a node `fp`. Only keys travel to the sets, KEYS at a time and one reading of the sets for each, so sets
+def sets_of(sets: DataFrame, nodes: DataFrame, held: str = "hashes") -> DataFrame:
+    """One row (fp, held) a node `fp`. Only keys travel to the sets, KEYS at a time and one reading of the sets for each, so sets
     that are not asked for are never shuffled."""
     nodes = stage(nodes.distinct(), "set-keys")
     share = max(1, -(-nodes.count() // KEYS))
     found = [sets.join(F.broadcast(nodes.filter(F.pmod(F.xxhash64("fp"), F.lit(share)) == i)), "fp", "left_semi") for i in range(share)]
-    return reduce(DataFrame.unionByName, found).groupBy("fp").agg(F.first("hashes").alias("hashes"))
+    return reduce(DataFrame.unionByName, found).groupBy("fp").agg(F.first(held).alias(held))
+
+
+def texts_sets(found: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(fp, hashes) of the nodes `fp`, from the text of one row of each: found (fp, row), texts (row, text)."""
+    rows = found.join(nodes.distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))
+    chosen = sets_of(texts.select(F.col("row").alias("fp"), "text"), rows.select(F.col("row").alias("fp")), "text")
+
+    def rows_of(batch):
+        sets = [shingle_set(t) for t in batch]
+        return {"fp": pa.array([set_key(s) for s in sets], pa.int64()), "hashes": pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())}
+
+    return over_text(chosen, [], "text", "fp bigint, hashes binary", rows_of, size=SET_BYTES)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets (fp, hashes) have a Jaccard similarity of at least SIMILARITY."""
-    sets = stage_only(lambda: sets_of(sets, pairs.select(F.explode(F.array("a", "b")).alias("fp"))), "candidate-sets")
+def thinned(links: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the same nodes: of THIN links that a task reads at a time, a forest.
+
+    A near copy meets others in up to 55 tables. A forest has a link less than nodes, so what goes on to the components
+    grows with the nodes and not with the tables in which they have met.
+    """
+
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            held.append(np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]))
+            n += b.num_rows
+            if n >= THIN:
+                yield forest_of(np.concatenate(held, axis=1))
+                held, n = [], 0
+        if n:
+            yield forest_of(np.concatenate(held, axis=1))
+
+    def forest_of(ends):
+        nodes, at = np.unique(ends, return_inverse=True)
+        a, b = at.reshape(2, -1)
+        label = np.arange(len(nodes))
+        while True:
+            low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+            if np.array_equal(low, high):
+                break
+            np.minimum.at(label, high, low)
+            while not np.array_equal(label[label], label):
+                label = label[label]
+        own = label != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[label[own]]), pa.array(nodes[own])], names=["a", "b"])
+
+    return links.select("a", "b").mapInArrow(run, "a bigint, b bigint")
+
+
+def verified(pairs: DataFrame, sets_for: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The pairs whose sets have a Jaccard similarity of at least SIMILARITY; sets_for gives the sets (fp, hashes) of nodes `fp`."""
+    sets = stage_only(lambda: sets_for(pairs.select(F.explode(F.array("a", "b")).alias("fp"))), "candidate-sets")
     out = pairs
     for end, other in (("a", "b"), ("b", "a")):
         rows = salted(out, F.col(other))
@@ -404,9 +454,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return out.select("a", "b", "h_a", "h_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def set_links(found: DataFrame) -> DataFrame:
+def set_links(found: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect all sets `fp` of at least SIMILARITY, directly or through others linked.
 
+    found: row, and the signatures; texts: row, text.
+
     Tables 0 to 30 are the covering masks of the whole set's fingerprint, so that no pair within RADIUS bits is missed; the
     others hold the fingerprints of the parts, which meet if they are equal.
     """
@@ -416,9 +468,10 @@ def set_links(found: DataFrame) -> DataFrame:
     nodes = nodes.groupBy("fp").agg(*[F.first(c).alias(c) for c in nodes.columns[1:]])
     keys = [F.col("s0").bitwiseAND(F.lit(_signed(m))) for m in masks()] + [F.col(f"p{i}") for i in range(PARTS)]
     rows = nodes.select(F.posexplode(F.array(*keys)).alias("t", "k"), F.col("fp").alias("node"), "n", "s0", "s1")
-    sets = found.select("fp", "hashes")
+    sets_for = lambda asked: texts_sets(found.select("fp", "row"), texts, asked)
     first = rows.withColumn("component", F.col("node"))
-    one = stage_only(lambda: verified(stage_only(lambda: candidates(first, False), "candidates"), sets), "links")
+    met = lambda: stage_only(lambda: candidates(first, False), "candidates")
+    one = stage_only(lambda: thinned(stage_only(lambda: verified(met(), sets_for), "verified")), "links")
     big = stage(rows.groupBy("t", "k").count().filter(F.col("count") > SHORT).select("t", "k"), "long-runs")
     if big.isEmpty():
         return one
@@ -427,11 +480,13 @@ def set_links(found: DataFrame) -> DataFrame:
     split = again.groupBy("t", "k").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low <> _high").select("t", "k")
     again = again.join(split, ["t", "k"], "left_semi")
     blocked = again.filter(F.col("n") <= BLOCK_SHINGLES)
-    held = sets_of(sets, blocked.select(F.col("node").alias("fp")))
-    blocked = blocked.join(held.withColumnRenamed("fp", "node"), "node").select(*blocked.columns, "hashes")
-    out = one.unionByName(stage_only(lambda: block_links(blocked, SET_BLOCK), "links"))
+    def in_blocks():
+        held = sets_for(blocked.select(F.col("node").alias("fp")))
+        return block_links(blocked.join(held.withColumnRenamed("fp", "node"), "node").select(*blocked.columns, "hashes"), SET_BLOCK)
+
+    out = one.unionByName(stage_only(in_blocks, "links"))
     wide = stage_only(lambda: candidates(again.filter(F.col("n") >= SIMILARITY * BLOCK_SHINGLES), True), "candidates")
-    return out if wide.isEmpty() else out.unionByName(stage_only(lambda: verified(wide, sets), "links"))
+    return out if wide.isEmpty() else out.unionByName(stage_only(lambda: verified(wide, sets_for), "links"))
 
 
 def _long_rows(rows: DataFrame, big: DataFrame, links: DataFrame) -> DataFrame:
@@ -444,13 +499,21 @@ def _long_rows(rows: DataFrame, big: DataFrame, links: DataFrame) -> DataFrame:
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, fp (key of the shingle set), component_id (smallest id reachable).
 
-    Two texts are linked if the Jaccard similarity of their five-word shingles (A-Z lower-cased, each counting once) is at
+    Rows are read again for the sets that pairs ask for, so a table that is no plain Parquet read is written first. Two texts
+    are linked if the Jaccard similarity of their five-word shingles (A-Z lower-cased, each counting once) is at
     least SIMILARITY. Texts of equal sets are one node; texts without words, null ones too, are one group. Null ids are
     passed over as component ids unless nothing else is in the component. An empty table gives no rows. Other columns of
     docs are not read.
     """
-    found = stage(signatures(docs, id_col, text_col), "signatures")
-    return grouped(found.select(id_col, "fp"), id_col, lambda groups: set_links(found)).select(id_col, "fp", "component_id")
+    return _similar(with_row_key(docs), id_col, text_col)
+
+
+def _similar(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """similar_documents of rows that have ROW_KEY."""
+    rows = keyed.select(F.col(id_col).alias("id"), F.xxhash64(ROW_KEY).alias("row"), F.col(text_col).cast("string").alias("text"))
+    found = stage(signatures(rows, ["id", "row"], "text"), "signatures")
+    out = grouped(found.select("id", "fp"), "id", lambda groups: set_links(found, rows.select("row", "text")))
+    return out.select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -461,7 +524,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     at = F.struct(keyed[id_col].isNull().alias("none"), keyed[id_col].alias("id"), F.xxhash64(text).alias("h"), keyed[ROW_KEY].alias("key"))
 
     def kept():
-        found = similar_documents(keyed.select(at.alias("at"), text.alias("text")), "at", "text")
+        found = _similar(keyed.select(at.alias("at"), text.alias("text"), ROW_KEY), "at", "text")
         return found.filter(F.col("at").eqNullSafe(F.col("component_id"))).select(F.col("at.key").alias(ROW_KEY))
 
     return keep_rows(keyed, stage_only(kept, "near"))

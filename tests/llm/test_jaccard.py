@@ -105,3 +105,30 @@ def test_sets_that_no_pair_asks_for_are_not_shuffled(spark, monkeypatch):
         assert simhash.sets_of(sets, nodes.limit(0)).count() == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sets_are_not_stored_and_links_are_thinned(spark, monkeypatch):
+    """Signatures hold no sets, which are longer than the texts; what goes on to the components grows with the nodes."""
+    stored, linked = {}, []
+    stage, components = simhash.stage, simhash.components
+    monkeypatch.setattr(simhash, "stage", lambda df, what: stored.setdefault(what, df.columns) and stage(df, what))
+    monkeypatch.setattr(simhash, "components", lambda links: linked.append((links.count(), len({x for r in links.collect() for x in r}))) or components(links))
+    r = random.Random(9)
+    base = [r.choice(WORDS) for _ in range(150)]
+    texts = [edited(r, base, r.choice([1, 2, 3])) for _ in range(250)]
+    want = brute_components([shingles(t) for t in texts], alike)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [x.component_id for x in sorted(simhash.similar_documents(df).collect())] == want
+    assert "hashes" not in stored["signatures"] and linked
+    assert all(links <= 5 * nodes for links, nodes in linked), linked
+
+
+def test_thinned_links_connect_the_same_nodes(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "THIN", 60)
+    r = np.random.default_rng(4)
+    pairs = sorted({(int(x), int(y)) for x, y in r.integers(-90, 90, (300, 2)) if x != y and (x + y) % 7})
+    links = spark.createDataFrame(pairs, "a bigint, b bigint")
+    plain = lambda df: sorted(map(tuple, graph.components(df).collect()))
+    got = simhash.thinned(links)
+    assert plain(got) == plain(links) and got.count() < len(pairs)
+    assert simhash.thinned(links.limit(0)).count() == 0
