@@ -39,7 +39,8 @@ def association(counts: DataFrame, first: date, last: date, windows: tuple[int,
     t, n, days (those of the entity with counts), pmi, llr.
 
     Sums of all windows come from steps, so what is shuffled are two steps a daily count and window, then one row a pair and
-    window; end dates are laid out last, within the partitions of an entity. An end date whose window has nothing has no
+    window; end dates are laid out last, within the partitions of an entity. Sums of lemmas, entities and countries are made
+    once for each of them, before they meet the pairs. An end date whose window has nothing has no
     rows; neither has an empty table. counts (country_code, collected_date, canonical, lemma, c11; one row each of the first
     four, rows with a null among these go) is read five times, so give a stored table; its other columns are not read.
     """
@@ -47,14 +48,13 @@ def association(counts: DataFrame, first: date, last: date, windows: tuple[int,
     if days < 1 or min(windows) < 1:
         raise ValueError("last must not be before first, and windows have at least a day")
     country, day = ["country_code"], "collected_date"
-    of = lambda keys, value, name: steps(counts.groupBy(*keys, day).agg(value.alias("_v")), keys, "_v", first, days, windows).withColumnRenamed("steps", name)
+    of = lambda keys, value, name: steps(counts.groupBy(*keys, day).agg(value.alias("_v")), keys, "_v", first, days, windows).select(*SPAN, *keys[1:], series(F.col("steps"), days).alias(name))
     counts = counts.dropna(subset=["country_code", day, "canonical", "lemma"])
     pairs = steps(counts, [*country, "canonical", "lemma"], "c11", first, days, windows).withColumnRenamed("steps", "_c")
     entity = of([*country, "canonical"], F.sum("c11"), "_r").join(of([*country, "canonical"], F.max(F.lit(1)), "_d"), [*SPAN, "canonical"])
     lemma, total = of([*country, "lemma"], F.sum("c11"), "_t"), of(country, F.sum("c11"), "_n")
     rows = pairs.join(lemma, [*SPAN, "lemma"]).join(entity.join(total, SPAN), [*SPAN, "canonical"])
-    for name in ("_c", "_r", "_t", "_n", "_d"):
-        rows = rows.withColumn(name, series(F.col(name), days))
+    rows = rows.withColumn("_c", series(F.col("_c"), days))
     value = lambda name, i: F.element_at(name, i)
     laid = F.transform(F.sequence(F.lit(1), F.lit(days)), lambda i: F.struct(F.date_add(F.lit(first), i - 1).alias("end_date"), value("_c", i).alias("c11"), value("_r", i).alias("r"), value("_t", i).alias("t"), value("_n", i).alias("n"), value("_d", i).alias("days")))
     out = rows.select(*SPAN, "canonical", "lemma", F.explode(F.filter(laid, lambda x: x["c11"] > 0)).alias("_x")).select(*SPAN, "canonical", "lemma", "_x.*")
@@ -66,7 +66,9 @@ def profiles(counts: DataFrame, first: date, last: date, windows: tuple[int, ...
     """One row an entity, window and end date: coverage, totals, mean statistics over all collocates and the top k as an array."""
     keys = [*SPAN, "end_date", "canonical"]
     stats = association(counts, first, last, windows)
-    w = Window.partitionBy(*keys).orderBy(F.round("llr", 9).desc(), F.round("pmi", 9).desc(), "lemma")
+    # the number comes first, as a sort compares long integers at once and texts only where they are equal
+    stats = stats.withColumn("_group", F.xxhash64(*keys))
+    w = Window.partitionBy("_group", *keys).orderBy(F.round("llr", 9).desc(), F.round("pmi", 9).desc(), "lemma")
     ranked = stats.withColumn("rank", F.row_number().over(w))
     top = F.when(F.col("rank") <= k, F.struct("rank", "lemma", "c11", "pmi", "llr"))
     return ranked.groupBy(*keys).agg(

@@ -59,3 +59,18 @@ def test_end_dates_are_laid_out_after_the_last_shuffle(spark, counts):
             spark.conf.set(k, v)
     above = plan[: plan.index("Generate explode(filter(")]
     assert "Exchange" not in above and len(re.findall("Window ", above)) >= 1
+
+
+def test_sums_are_made_before_they_meet_the_pairs(spark, counts):
+    """Above the joins a pair's own sum alone is made, and rows of an end date are sorted by a long integer first."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rolling.profiles(counts, date(2024, 1, 1), date(2024, 1, 2))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    laid = plan.index("Generate explode(filter(")
+    assert plan[laid : plan.index("SortMergeJoin")].count("aggregate(") == 1
+    assert re.search(r"Sort \[_group#\d+L ASC", plan[:laid])
