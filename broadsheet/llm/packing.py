@@ -25,8 +25,8 @@ WINDOW, END_ID = 2048, 1
 BLOCK_WINDOWS, SLACK = 128, 2
 #: Longest piece that goes into differencing; a document's tail is cut to such pieces.
 PIECE = 256
-#: Bytes of text that are tokenized together, and distinct words that a worker remembers.
-TEXT_BYTES, KNOWN_WORDS = 16 << 20, 250_000
+#: Bytes of text that are tokenized together (a worker holds some ten times that for them), and distinct words that it remembers.
+TEXT_BYTES, KNOWN_WORDS = 2 << 20, 250_000
 
 
 # ---------------------------------------------------------------- tokens
