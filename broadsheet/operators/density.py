@@ -23,24 +23,42 @@ PLACES, FLOOR = 10, 1e-6
 _MERGED = "_s string, kind int, comp bigint, to bigint, size bigint, cluster bigint, acc double, best double, parent bigint, chosen boolean"
 
 
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances of unit vectors."""
-    return np.maximum(np.round(np.sqrt(np.maximum(2 - 2 * (x @ y.T), 0)), PLACES), FLOOR)
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of unit vectors; about 0 for equal ones."""
+    return 2 - 2 * (x @ y.T)
+
+
+def _lengths(squares: np.ndarray) -> np.ndarray:
+    """Distances, which rise with their squares."""
+    return np.maximum(np.round(np.sqrt(np.maximum(squares, 0)), PLACES), FLOOR)
 
 
 def _spanning(x: np.ndarray, core: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(from, to, weight) of a minimum spanning tree by mutual reachability: the largest of a distance and both core distances."""
-    n, at = len(x), 0
-    near, source, left = np.full(n, np.inf), np.zeros(n, np.int64), np.ones(n, bool)
+    """(from, to, weight) of a minimum spanning tree by mutual reachability: the largest of a distance and both core distances.
+
+    Squares have the order of reaches, so only the tree's own edges are made lengths. Points that are left stand first.
+    """
+    n = len(x)
     u, v, w = np.zeros(n - 1, np.int64), np.zeros(n - 1, np.int64), np.zeros(n - 1)
+    rows, least = np.arange(n), core * core
+    twice = np.ascontiguousarray(-2 * x)
+    near, source = np.full(n, np.inf), np.zeros(n, np.int64)
+    at, m = 0, n
     for i in range(n - 1):
-        left[at] = False
-        reach = np.maximum(np.maximum(_distances(x, x[at][None, :])[:, 0], core), core[at])
-        closer = left & (reach < near)
-        near[closer], source[closer] = reach[closer], at
-        at = int(np.where(left, near, np.inf).argmin())
-        u[i], v[i], w[i] = source[at], at, near[at]
-    return u, v, w
+        here, square, one = rows[at], least[at], x[rows[at]]
+        m -= 1
+        for a in (rows, least, twice, near, source):
+            a[at] = a[m]
+        reach = twice[:m] @ one
+        reach += 2
+        np.maximum(reach, least[:m], out=reach)
+        np.maximum(reach, square, out=reach)
+        closer = reach < near[:m]
+        np.copyto(near[:m], reach, where=closer)
+        np.copyto(source[:m], here, where=closer)
+        at = int(near[:m].argmin())
+        u[i], v[i], w[i] = source[at], rows[at], near[at]
+    return u, v, _lengths(w)
 
 
 def _finite(v: Column) -> Column:
@@ -100,14 +118,15 @@ def _with_core(points: DataFrame, k: int) -> DataFrame:
                 continue
             for at in range(0, len(rows), 512):
                 part = rows[at : at + 512]
-                d = _distances(x[part], x[cols])
-                d[part[:, None] == cols[None, :]] = np.inf
+                d = _squares(x[part], x[cols])
+                if here == there:
+                    d[np.arange(len(part)), np.arange(at, at + len(part))] = np.inf
                 few = min(k, len(cols))
                 take = np.argpartition(d, few - 1, axis=1)[:, :few]
                 d = np.take_along_axis(d, take, axis=1)
+                ok, length, copies = np.isfinite(d), _lengths(d), c[cols[take]]
                 for i, row in enumerate(part):
-                    ok = np.isfinite(d[i])
-                    out.append((u[row], d[i][ok], c[cols[take[i]]][ok]))
+                    out.append((u[row], length[i][ok[i]], copies[i][ok[i]]))
         return pd.DataFrame(out, columns=["u", "d", "c"])
 
     near = _pairs(points, True).groupBy("_s", "a", "b").applyInPandas(run, "u bigint, d array<double>, c array<bigint>")

@@ -141,3 +141,16 @@ def test_reduced_vectors_keep_distances_in_their_plane(spark):
     low = np.array([got[i] for i in range(60)])
     assert np.allclose(low @ low.T, flat @ flat.T, atol=1e-9)
     assert density.reduced(rows.limit(0), 2).collect() == []
+
+
+def test_spanning_makes_lengths_of_its_edges_alone(monkeypatch):
+    x = _blobs(7, 400)
+    x = np.round(x / np.linalg.norm(x, axis=1, keepdims=True), 9)
+    d = np.maximum(np.round(np.sqrt(np.maximum(2 - 2 * x @ x.T, 0)), density.PLACES), density.FLOOR)
+    core = np.sort(d, axis=1)[:, 8]
+    want = sorted(w for _, _, w in _tree(np.maximum(np.maximum(d, core[:, None]), core[None, :])))
+    roots, plain_sqrt = [], np.sqrt
+    monkeypatch.setattr(density.np, "sqrt", lambda a, *more: roots.append(np.size(a)) or plain_sqrt(a, *more))
+    u, v, w = density._spanning(x, core)
+    assert sum(roots) <= len(x)
+    assert np.allclose(np.sort(w), want, atol=1e-9) and np.allclose(w, np.maximum(np.maximum(d[u, v], core[u]), core[v]), atol=1e-9)
