@@ -150,3 +150,9 @@ def default_mentions(articles: DataFrame, rule: str = r"^\p{Lu}\p{Ll}{3,}$") ->
     w = Window.partitionBy("id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     long = exploded.select("id", "entity_text", F.coalesce(F.sum(F.length("entity_text")).over(w), F.lit(0)).cast("int").alias("position"))
     return short.unionByName(long).filter(F.col("entity_text").rlike(rule))
+
+
+def default_names(articles: DataFrame) -> DataFrame:
+    """(id, entity_text): what default_mentions finds by its rule, each name once a text; one scan, and nothing is shuffled."""
+    found = F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{N}_])\p{Lu}\p{Ll}{3,}(?![\p{L}\p{N}_])"), F.lit(0))
+    return articles.select("id", F.explode(F.array_distinct(found)).alias("entity_text"))

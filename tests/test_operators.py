@@ -135,6 +135,31 @@ def test_explanations_are_grounded(spark):
     assert explain.sufficiency(found).first().sufficient
 
 
+def test_all_texts_are_candidates(spark):
+    """The oldest of 60 texts is the only one that holds a lemma; a lemma counts inside a word, as it does for one profile."""
+    made = "country_code string, canonical string, top_collocates array<struct<lemma:string,pmi:double,llr:double>>"
+    profile = spark.createDataFrame([("DE", "Merkel", [("tariff", 2.5, 30.04), ("zoll", 1.0, 2.0)]), ("DE", "Scholz", [("zoll", 1.0, 2.0)]), ("DE", "Nobody", [("zoll", 1.0, 2.0)]), ("FR", "Merkel", [("here", 1.0, 2.0)])], made)
+    texts = [("DE", i, i, "Merkel was here") for i in range(59)] + [("DE", 59, 59, "Merkel on TARIFFS, Scholz on Zollfragen"), ("FR", 60, 0, "Merkel here"), ("DE", 61, 0, ""), ("DE", 62, 0, None)]
+    articles = spark.createDataFrame(texts, "country_code string, id int, rank int, text string")
+    found = entities.default_names(articles).join(articles, "id").select("country_code", F.col("entity_text").alias("canonical"), "id")
+    got = explain.matches(found, articles, profile)
+    assert got.count() == 62
+    top = {(r.country_code, r.canonical): (r.id, sorted(r.matched)) for r in explain.ranked(got).filter("snippet_id = 'S1'").collect()}
+    assert top == {("DE", "Merkel"): (59, ["tariff", "zoll"]), ("DE", "Scholz"): (59, ["zoll"]), ("FR", "Merkel"): (60, ["here"])}
+    one = explain.evidence(found.join(articles, ["country_code", "id"]), profile)
+    rows = lambda df: sorted((*r[:4], sorted(r[4])) for r in df.select("country_code", "canonical", "snippet_id", "id", "matched").collect())
+    assert rows(explain.ranked(got)) == rows(one)
+
+
+def test_default_names(spark):
+    """The names of default_mentions, with marks, digits and other letters beside them, once a text."""
+    texts = ["Berlin, Berlin und Ömer; Köln_ Xberlin berlin _Paris Paris2 PARis Pari Par Élodie's Straße\u0301 Ärztin\nBonn", "", None, "Wien " * 1500]
+    a = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    old = entities.default_mentions(a).select("id", "entity_text").distinct()
+    got = [tuple(r) for r in entities.default_names(a).collect()]
+    assert len(got) == len(set(got)) and set(got) == {tuple(r) for r in old.collect()} and (0, "Élodie") in got and (3, "Wien") in got
+
+
 def test_preprocess(spark):
     df = spark.createDataFrame([(1, "<b>The Title</b> is here", "and the rest of it", "2024-01-02T03:04:05Z"), (2, "kurz", "", None), (3, "Der Titel und die Lage", "nicht das", "not a date")], "id int, title string, summary string, published_date string")
     got = {r.id: r for r in preprocess.preprocess(df, "en", "2024-01-30 00:00:00").collect()}
